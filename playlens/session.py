@@ -33,6 +33,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
     conf.setdefault("spark.ui.enabled", "false")
+    conf.setdefault("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
