@@ -6,7 +6,7 @@ Plan shape (kept deliberately):
 2. count items per tag (map-side combined) and drop tags above
    ``max_tag_freq`` with a left-anti join;
 3. self-join on ``tag`` with ``a.id < b.id``: every unordered pair is built
-   once per shared tag.  Because no kept tag has more than ``max_tag_freq``
+   once per shared tag (the probe side hash-partitioned by item).  Because no kept tag has more than ``max_tag_freq``
    items, no join key produces more than ``max_tag_freq**2 / 2`` rows and
    the pair count is at most ``max_tag_freq / 2`` times the tag rows:
    linear in the data;
@@ -50,9 +50,22 @@ def drop_frequent_tags(rows: DataFrame, max_tag_freq: int) -> DataFrame:
     return rows.join(frequent, "tag", "left_anti")
 
 
+def name_order(meta: DataFrame) -> DataFrame:
+    """``(name, name_ord)``: a long that sorts like the name (NULL first).
+
+    Distinct names are range-partitioned and sorted; the partition index and
+    the row offset inside the sorted partition (``monotonically_increasing_id``)
+    then increase with the name, so the key preserves the order without a
+    single-partition ``rank()``.
+    """
+    return (meta.select("name").distinct().orderBy(F.col("name").asc_nulls_first())
+            .withColumn("name_ord", F.monotonically_increasing_id()))
+
+
 def tag_similarity(items: DataFrame, id_col: str = "igdb_id", name_col: str = "igdb_name",
                    tag_cols: Sequence[str] = ("genre_names", "theme_names", "tag_names"),
-                   k: int = 10, max_tag_freq: int = 1500, size_basis: str = "all") -> DataFrame:
+                   k: int = 10, max_tag_freq: int = 1500, size_basis: str = "all",
+                   partitions: int | None = None) -> DataFrame:
     """Top-``k`` neighbours per item: ``(id, rank, nbr_id, nbr_name, shared, score)``.
 
     ``shared`` counts tags the two items have in common, ignoring tags above
@@ -61,32 +74,47 @@ def tag_similarity(items: DataFrame, id_col: str = "igdb_id", name_col: str = "i
     tags (a true Jaccard on kept tags).  Pairs are keyed by item id, so two
     items with the same name stay distinct.  Order: score desc, neighbour
     name asc (NULL first), neighbour id asc.
+
+    Only numbers travel with the pairs (ids, set sizes, a name-order key);
+    names are joined to the k survivors per item at the end.  The probe side
+    of the pair join is hash-partitioned by item into ``partitions`` (default
+    ``spark.sql.shuffle.partitions``) so the pair fan-out runs in parallel
+    even when the catalogue is one small file and the tag side is broadcast;
+    the per-pair count then needs no further shuffle because its input is
+    already clustered by the first item.
     """
     if size_basis not in ("all", "kept"):
         raise ValueError("size_basis must be 'all' or 'kept'")
+    spark = items.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = item_tag_rows(items, id_col, name_col, tag_cols)
-    kept = drop_frequent_tags(rows, max_tag_freq).filter(F.col("tag").isNotNull())
+    kept = drop_frequent_tags(rows, max_tag_freq).filter(F.col("tag").isNotNull()).select("id", "tag")
+    meta = rows.select("id", "name", "n_tags").distinct()
     if size_basis == "kept":
         sizes = kept.groupBy("id").agg(F.count(F.lit(1)).alias("n_tags"))
-        kept = kept.drop("n_tags").join(sizes, "id")
+        meta = meta.drop("n_tags").join(sizes, "id")
+    order_keys = name_order(meta)
+    meta = meta.join(order_keys, meta["name"].eqNullSafe(order_keys["name"])).drop(order_keys["name"])
+    kept = kept.join(meta.select("id", "n_tags", "name_ord"), "id")
 
-    a = kept.select(F.col("tag"), F.col("id").alias("a_id"), F.col("name").alias("a_name"),
-                    F.col("n_tags").alias("a_n"))
+    a = kept.select("tag", F.col("id").alias("a_id"), F.col("n_tags").alias("a_n"),
+                    F.col("name_ord").alias("a_o")).repartition(n_parts, "a_id")
     b = kept.select(F.col("tag").alias("b_tag"), F.col("id").alias("b_id"),
-                    F.col("name").alias("b_name"), F.col("n_tags").alias("b_n"))
+                    F.col("n_tags").alias("b_n"), F.col("name_ord").alias("b_o"))
     pairs = a.join(b, (a["tag"] == b["b_tag"]) & (a["a_id"] < b["b_id"]))
-    # name and size are functions of the id, so grouping by them too costs
-    # nothing in cardinality and saves two joins back to the items
-    shared = (pairs.groupBy("a_id", "b_id", "a_name", "b_name", "a_n", "b_n")
+    # size and name key are functions of the id: grouping by them as well
+    # changes nothing in cardinality and keeps the aggregate all-numeric
+    shared = (pairs.groupBy("a_id", "b_id", "a_n", "b_n", "a_o", "b_o")
               .agg(F.count(F.lit(1)).alias("shared"))
               .withColumn("score", jaccard(F.col("shared"), F.col("a_n"), F.col("b_n"))))
     both = shared.select(F.col("a_id").alias("id"), F.col("b_id").alias("nbr_id"),
-                         F.col("b_name").alias("nbr_name"), "shared", "score").unionByName(
+                         F.col("b_o").alias("nbr_o"), "shared", "score").unionByName(
         shared.select(F.col("b_id").alias("id"), F.col("a_id").alias("nbr_id"),
-                      F.col("a_name").alias("nbr_name"), "shared", "score"))
-    order = [F.col("score").desc_nulls_last(), F.col("nbr_name").asc_nulls_first(),
-             F.col("nbr_id").asc()]
-    return top_k(both, "id", order, k, rank_col="rank")
+                      F.col("a_o").alias("nbr_o"), "shared", "score"))
+    order = [F.col("score").desc_nulls_last(), F.col("nbr_o").asc(), F.col("nbr_id").asc()]
+    top = top_k(both, "id", order, k, rank_col="rank")
+    names = meta.select(F.col("id").alias("nbr_id"), F.col("name").alias("nbr_name"))
+    return top.join(names, "nbr_id").select("id", "rank", "nbr_id", "nbr_name", "shared", "score")
 
 
 def neighbour_lists(top: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from playlens.operators.resolve import link_catalogues
 from playlens.operators.topk import dedupe, latest_per_key
 from playlens.plans import roles as R
 from playlens.plans import sql as S
+from playlens.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -189,6 +190,11 @@ query("tag_similarity_wide", S.similarity_sql(R.TAG_CAP_WIDE, R.NEIGHBOURS, "all
 
 # --------------------------------------------------------------- cohorts
 
+def _inter(spark, d):
+    """Interactions written once per job: every branch below reads them."""
+    return materialize(R.interactions(spark, d))
+
+
 def _user_tags(spark, d, inter=None):
     inter = inter if inter is not None else R.interactions(spark, d)
     return feat.user_tag_counts(inter, "user_id", ["profile_tags"])
@@ -209,7 +215,7 @@ SELECT w.user_id, w.tag, w.df, round(w.idf, 6) AS idf,
        round(CASE WHEN nrm.norm > 0 THEN w.idf / nrm.norm ELSE 0.0 END, 6) AS weight
 FROM w JOIN nrm USING (user_id)""")
 def q_tfidf(spark, d):
-    inter = R.interactions(spark, d)
+    inter = _inter(spark, d)
     t = feat.tfidf(_user_tags(spark, d, inter), inter, "user_id", min_df=R.MIN_DF)
     return t.select("user_id", "tag", "df", r6("idf").alias("idf"), r6("weight").alias("weight"))
 
@@ -219,7 +225,7 @@ SELECT cohort_id, tag, cohort_tag_users, cohort_size, global_tag_users,
        round(cohort_prop, 6) AS cohort_prop, round(global_prop, 6) AS global_prop, round(lift, 6) AS lift
 FROM lift""")
 def q_tag_lift(spark, d):
-    inter = R.interactions(spark, d)
+    inter = _inter(spark, d)
     lifts = coh.tag_lift(_user_tags(spark, d, inter), R.given_cohorts(spark, d, inter), "user_id",
                          "cohort_id")
     return lifts.select("cohort_id", "tag", "cohort_tag_users", "cohort_size", "global_tag_users",
@@ -228,14 +234,14 @@ def q_tag_lift(spark, d):
 
 
 def _labelled(spark, d, inter):
-    return coh.cohort_profile(_user_tags(spark, d, inter), R.given_cohorts(spark, d, inter),
-                              "user_id", "cohort_id", min_users=R.MIN_USERS, min_share=R.MIN_SHARE)
+    return materialize(coh.cohort_profile(_user_tags(spark, d, inter), R.given_cohorts(spark, d, inter),
+                              "user_id", "cohort_id", min_users=R.MIN_USERS, min_share=R.MIN_SHARE))
 
 
 @query("cohort_profile", "WITH " + S.lift_sql(R.MIN_USERS, R.MIN_SHARE) + """
 SELECT user_id, cohort_id, cohort_name FROM lab""")
 def q_cohort_profile(spark, d):
-    return _labelled(spark, d, R.interactions(spark, d)).select("user_id", "cohort_id", "cohort_name")
+    return _labelled(spark, d, _inter(spark, d)).select("user_id", "cohort_id", "cohort_name")
 
 
 @query("not_ubiquitous", f"""WITH {S.INTER},
@@ -245,7 +251,7 @@ pop AS (SELECT item_id, count(*) AS user_count, sum(s) AS global_score
 SELECT item_id, user_count, round(global_score, 6) AS global_score FROM pop
 WHERE user_count < {R.MAX_SHARE} * (SELECT count(DISTINCT user_id) FROM inter)""")
 def q_not_ubiquitous(spark, d):
-    inter = R.interactions(spark, d)
+    inter = _inter(spark, d)
     pop = rec.not_ubiquitous(rec.item_popularity(inter, "user_id", "item_id"),
                              rec.total_users(inter, "user_id"), R.MAX_SHARE)
     return pop.select("item_id", "user_count", r6("global_score").alias("global_score"))
@@ -258,7 +264,7 @@ _SCORE_COLS = ["cohort_id", "item_id", "item_name"]
 SELECT cohort_id, item_id, item_name, round(cohort_score, 6) AS cohort_score, user_count,
        round(global_score, 6) AS global_score, round(game_cluster_score, 6) AS game_cluster_score FROM cs""")
 def q_cohort_scores(spark, d):
-    inter = R.interactions(spark, d)
+    inter = _inter(spark, d)
     s = rec.cohort_scores(inter, R.given_cohorts(spark, d, inter), "user_id", "item_id", "item_name",
                           cohort="cohort_id", min_score=R.MIN_SCORE, max_share=R.MAX_SHARE)
     return s.select(*_SCORE_COLS, r6("cohort_score").alias("cohort_score"), "user_count",
@@ -273,7 +279,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY cohort_id ORDER BY game_cluster_
 WHERE cohort_rank <= 10""")
 def q_segment_top_items(spark, d):
     """Flagship: top-10 items per market segment by the cohort item score."""
-    inter = R.interactions(spark, d)
+    inter = _inter(spark, d)
     s = rec.cohort_scores(inter, R.given_cohorts(spark, d, inter), "user_id", "item_id", "item_name",
                           cohort="cohort_id", min_score=R.MIN_SCORE, max_share=R.MAX_SHARE)
     top = rec.cohort_top_items(s, "item_id", "cohort_id", 10)
@@ -282,7 +288,7 @@ def q_segment_top_items(spark, d):
 
 
 def _recommend(spark, d):
-    inter = R.interactions(spark, d)
+    inter = _inter(spark, d)
     labelled = _labelled(spark, d, inter)
     return rec.recommend(inter, labelled, None, "user_id", "item_id", "item_name",
                          cohort="cohort_id", min_score=R.MIN_SCORE, max_share=R.MAX_SHARE,

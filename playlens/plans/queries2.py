@@ -19,7 +19,7 @@ from playlens.operators.upsert import upsert
 from playlens.plans import catalogues as C
 from playlens.plans import roles as R
 from playlens.plans import sql as S
-from playlens.plans.queries import _labelled, _recommend, _user_tags, query, r6
+from playlens.plans.queries import _inter, _labelled, _recommend, _user_tags, query, r6
 from playlens.session import scratch_path
 from playlens.sources.sinks import to_documents
 from playlens.streaming.loads import load_batches
@@ -354,7 +354,7 @@ def q_load_batches(spark, d):
 @query("report_cohort_sizes", "WITH " + S.lift_sql(R.MIN_USERS, R.MIN_SHARE) + """
 SELECT cohort_id, cohort_name, count(*) AS n_users FROM lab GROUP BY cohort_id, cohort_name""")
 def q_report_cohort_sizes(spark, d):
-    return rep.report_cohort_sizes(_labelled(spark, d, R.interactions(spark, d)), "cohort_id")
+    return rep.report_cohort_sizes(_labelled(spark, d, _inter(spark, d)), "cohort_id")
 
 
 @query("report_top_items", "WITH " + S.reco_sql(R.MIN_USERS, R.MIN_SHARE, R.MIN_SCORE, R.MAX_SHARE,
@@ -386,7 +386,7 @@ def q_report_neighbour_overlap(spark, d):
 # --------------------------------------------------------------- learned cohorts (rows-only)
 
 def _kmeans(spark, d, k=8):
-    inter = R.interactions(spark, d)
+    inter = _inter(spark, d)
     arrays = feat.user_tag_arrays(_user_tags(spark, d, inter), inter, "user_id")
     return feat.assign_cohorts(arrays, "user_id", k=k, seed=42, min_df=R.MIN_DF)
 
@@ -406,7 +406,7 @@ def q_cohort_quality(spark, d):
 @query("learned_cohort_profile")
 def q_learned_cohort_profile(spark, d):
     """O8 on K-Means cohorts (K = 8 bounds the broadcast of the size table)."""
-    inter = R.interactions(spark, d)
+    inter = _inter(spark, d)
     assign, _ = _kmeans(spark, d)
     return coh.cohort_profile(_user_tags(spark, d, inter), assign, "user_id", "cohort_id", n_cohorts=8,
                               min_users=R.MIN_USERS, min_share=R.MIN_SHARE)
@@ -415,7 +415,7 @@ def q_learned_cohort_profile(spark, d):
 @query("learned_recommend")
 def q_learned_recommend(spark, d):
     """O9 on K-Means cohorts: the reference's own flow end to end."""
-    inter = R.interactions(spark, d)
+    inter = _inter(spark, d)
     assign, _ = _kmeans(spark, d)
     labelled = coh.cohort_profile(_user_tags(spark, d, inter), assign, "user_id", "cohort_id", n_cohorts=8,
                                   min_users=R.MIN_USERS, min_share=R.MIN_SHARE)

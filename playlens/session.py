@@ -74,3 +74,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used for intermediate tables read by several branches of one job (each
+    branch would otherwise recompute the scans, joins and aggregations
+    below it), and so a lost executor only recomputes from the checkpoint.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
