@@ -108,9 +108,9 @@ def enrich(interactions: DataFrame, items: DataFrame, key: str, cols: Sequence[s
     duplicated (which would inflate every later sum and count).
     """
     items_key = items_key or key
-    view = items.select(F.col(items_key).alias("_k"), *cols)
     if not allow_fanout:
-        view = one_row_per_key(view, "_k", order_by or [F.col("_k")])
+        items = one_row_per_key(items, items_key, order_by or [F.col(items_key)])
+    view = items.select(F.col(items_key).alias("_k"), *cols)
     return interactions.join(view, interactions[key] == view["_k"], "left").drop("_k")
 
 

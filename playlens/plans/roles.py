@@ -63,7 +63,7 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     item name and profile tags attached (one catalogue row per item)."""
     scored = score_interactions(purchase_rows(spark, sf_dir), item="item_id")
     return enrich(scored, items(spark, sf_dir), "item_id", ["item_name", "profile_tags"],
-                  order_by=[F.col("_k")])
+                  order_by=[F.col("item_id")])
 
 
 def given_cohorts(spark: SparkSession, sf_dir: str, inter: DataFrame | None = None) -> DataFrame:
