@@ -114,3 +114,14 @@ def materialized(*frames: DataFrame):
     finally:
         for f in frames:
             f.unpersist()
+
+
+def serve_upsert(df: DataFrame, id_col: str, index_table: str) -> str:
+    """O10 (catalogue): documents keyed by ``id_col`` upserted into a
+    snapshot table; documents absent from ``df`` stay (stale docs kept)."""
+    return upsert_table(to_documents(df, id_col), index_table, ["doc_id"])
+
+
+def serve_replace(df: DataFrame, id_col: str, index_path: str) -> None:
+    """O10 (recommendations): the document set is replaced as a whole."""
+    write_gold(to_documents(df, id_col), index_path)
