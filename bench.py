@@ -34,11 +34,12 @@ def main() -> None:
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 4 * cpus),
                           app_name="playlens-bench",
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     spark.sparkContext.setLogLevel("ERROR")
 
     timings: dict[str, float] = {}
     for name in names:
+        spark.sparkContext._jvm.System.gc()  # start each query from a collected heap
         fn = QUERIES[name]
         samples = []
         for i in range(warmup + runs):

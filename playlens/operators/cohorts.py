@@ -46,10 +46,11 @@ def tag_lift(user_tags: DataFrame, assignments: DataFrame, user: str = "steam_id
     ut = user_tags.select(user, "tag").distinct()
     a = assignments.select(user, cohort)
     total = a.agg(F.count(F.lit(1))).scalar()
-    joined = ut.join(a, user)
-    global_counts = (joined.groupBy("tag").agg(F.count(F.lit(1)).alias("global_tag_users"))
+    per_cohort = ut.join(a, user).groupBy(cohort, "tag").agg(F.count(F.lit(1)).alias("cohort_tag_users"))
+    # every user is in exactly one cohort, so a tag's users are the sum of its
+    # per-cohort users: a second, small aggregate instead of another pass
+    global_counts = (per_cohort.groupBy("tag").agg(F.sum("cohort_tag_users").alias("global_tag_users"))
                      .withColumn("global_prop", F.col("global_tag_users") / total))
-    per_cohort = joined.groupBy(cohort, "tag").agg(F.count(F.lit(1)).alias("cohort_tag_users"))
     sizes = broadcast_if_bounded(cohort_sizes(a, cohort), n_cohorts)
     return (per_cohort.join(sizes, cohort).join(global_counts, "tag")
             .withColumn("cohort_prop", F.col("cohort_tag_users") / F.col("cohort_size"))

@@ -32,30 +32,44 @@ def total_users(interactions: DataFrame, user: str = "steam_id"):
     return interactions.select(user).distinct().agg(F.count(F.lit(1))).scalar()
 
 
+def item_names(interactions: DataFrame, item: str = "steam_appid", name: str = "game_name") -> DataFrame:
+    """``(item, item_name)``: one name per item id (the greatest, so a
+    renamed item keeps a single, deterministic name).
+
+    Distinct (item, name) pairs are reduced first with a hash aggregate, so
+    the string ``max`` only sees a handful of rows per item.
+    """
+    return (interactions.select(item, name).distinct()
+            .groupBy(item).agg(F.max(name).alias("item_name")))
+
+
 def cohort_scores(interactions: DataFrame, labelled: DataFrame, user: str = "steam_id",
                   item: str = "steam_appid", name: str = "game_name",
                   score: str = "implicit_preference_score", cohort: str = "cohort_id",
                   min_score: float = 10.0, max_share: float = 0.20,
-                  exponent: float = 1.2) -> DataFrame:
+                  exponent: float = 1.2, with_names: bool = True) -> DataFrame:
     """J10, A13-A15, F10, F11, J11, X9 per (cohort, item)::
 
         cohort_score = sum of affinity of the cohort's users
         game_cluster_score = pow(cohort_score, exponent) / log1p(global_score)
 
-    Grouped by item id (the name is carried with ``max``), so a renamed item
-    is never split.  Keeps ``cohort_score > min_score`` and items that are
-    not ubiquitous.
+    Grouped by item id only, so a renamed item is never split; the
+    aggregation is all-numeric (hash aggregate) and names are attached
+    afterwards (``with_names``).  Keeps ``cohort_score > min_score`` and items
+    that are not ubiquitous.
     """
-    inter = interactions.select(user, item, name, score)
+    inter = interactions.select(user, item, score)
     joined = inter.join(labelled.select(user, cohort), user)
-    per_cohort = joined.groupBy(cohort, item).agg(
-        F.sum(score).alias("cohort_score"), F.max(name).alias("item_name"))
+    per_cohort = joined.groupBy(cohort, item).agg(F.sum(score).alias("cohort_score"))
     pop = not_ubiquitous(item_popularity(inter, user, item, score),
                          total_users(inter, user), max_share)
-    return (per_cohort.join(pop, item)
-            .filter(F.col("cohort_score") > min_score)
-            .withColumn("game_cluster_score",
-                        cohort_item_score(F.col("cohort_score"), F.col("global_score"), exponent)))
+    out = (per_cohort.join(pop, item)
+           .filter(F.col("cohort_score") > min_score)
+           .withColumn("game_cluster_score",
+                       cohort_item_score(F.col("cohort_score"), F.col("global_score"), exponent)))
+    if with_names:
+        out = out.join(item_names(interactions, item, name), item, "left")
+    return out
 
 
 def cohort_top_items(scores: DataFrame, item: str = "steam_appid", cohort: str = "cohort_id",
@@ -80,9 +94,9 @@ def recommend(interactions: DataFrame, labelled: DataFrame, owned: DataFrame | N
     shuffles users by cohort (a handful of keys).
     """
     scores = cohort_scores(interactions, labelled, user, item, name, score, cohort,
-                           min_score, max_share, exponent)
-    top = cohort_top_items(scores, item, cohort, per_cohort).select(
-        cohort, item, "item_name", "game_cluster_score")
+                           min_score, max_share, exponent, with_names=False)
+    top = cohort_top_items(scores, item, cohort, per_cohort).select(cohort, item, "game_cluster_score")
+    top = top.join(item_names(interactions, item, name), item, "left")
     bound = n_cohorts * per_cohort if n_cohorts is not None else None
     cand = labelled.select(user, cohort, "cohort_name").join(broadcast_if_bounded(top, bound), cohort)
     own = (owned if owned is not None else interactions).select(user, item)

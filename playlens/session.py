@@ -76,12 +76,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as a Parquet table in the shared
+    checkpoint folder and reading it back.
 
     Used for intermediate tables read by several branches of one job (each
-    branch would otherwise recompute the scans, joins and aggregations
-    below it), and so a lost executor only recomputes from the checkpoint.
+    branch would otherwise recompute the scans, joins and aggregations below
+    it).  One pass writes it (an RDD checkpoint of an unpersisted frame runs
+    the lineage twice); readers get column pruning and filter pushdown; and
+    a lost executor recomputes nothing below the table.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
