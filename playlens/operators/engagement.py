@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlens.functions.scalar import affinity
+from playlens.operators.joins import left_join_nonnull_keys
 from playlens.operators.topk import dedupe
 
 
@@ -136,8 +137,11 @@ STAT_DEFAULTS = {
 
 def attach_stats(items: DataFrame, stats: DataFrame, items_key: str, stats_key: str,
                  defaults: Mapping[str, object] = STAT_DEFAULTS) -> DataFrame:
-    """J3 + P7: left-join per-item stats and fill missing stats with defaults."""
+    """J3 + P7: left-join per-item stats and fill missing stats with defaults.
+
+    Items without a key (no store id) skip the shuffle join.
+    """
     s = stats.withColumnRenamed(stats_key, "_sk")
-    out = items.join(s, items[items_key] == s["_sk"], "left").drop("_sk")
+    out = left_join_nonnull_keys(items, s, [items_key], ["_sk"]).drop("_sk")
     present = {k: v for k, v in defaults.items() if k in out.columns}
     return out.na.fill(present) if present else out

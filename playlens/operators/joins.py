@@ -21,3 +21,33 @@ def broadcast_if_bounded(df: DataFrame, row_bound: int | None,
     if row_bound is not None and row_bound <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def left_join_nonnull_keys(left: DataFrame, right: DataFrame, left_keys, right_keys) -> DataFrame:
+    """``left`` LEFT JOIN ``right`` ON equal keys, with NULL-key rows kept out
+    of the shuffle.
+
+    A NULL key never matches, but in a sort-merge join every NULL-key row of
+    the outer side hashes to the same partition: a catalogue where a third
+    of the rows lack the key would put that third into one task.  Those rows
+    are routed around the join and get NULL right columns; right rows with a
+    NULL key are dropped (they could not match).
+    """
+    left_keys, right_keys = list(left_keys), list(right_keys)
+    l_ok = F.lit(True)
+    for k in left_keys:
+        l_ok = l_ok & F.col(k).isNotNull()
+    r_ok = F.lit(True)
+    for k in right_keys:
+        r_ok = r_ok & F.col(k).isNotNull()
+    r = right.filter(r_ok)
+    cond = None
+    for lk, rk in zip(left_keys, right_keys):
+        term = F.col(f"__l.{lk}") == F.col(f"__r.{rk}")
+        cond = term if cond is None else cond & term
+    joined = left.filter(l_ok).alias("__l").join(r.alias("__r"), cond, "left")
+    joined = joined.select(*[F.col(f"__l.{c}") for c in left.columns],
+                           *[F.col(f"__r.{c}") for c in right.columns])
+    nulls = left.filter(~l_ok).select(
+        *left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns])
+    return joined.unionByName(nulls)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from playlens.functions.scalar import link_key, release_year
 from playlens.operators.engagement import attach_stats, STAT_DEFAULTS
+from playlens.operators.joins import left_join_nonnull_keys
 from playlens.operators.topk import dedupe, latest_per_key
 
 
@@ -18,19 +19,16 @@ def link_catalogues(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     """Left-join ``right`` on a composite key after reducing it to one row
     per key (deterministic survivor under ``right_order``).
 
-    Keys compare with ``=``, so a NULL key part never links; only the left
-    key columns are kept in the output.
+    Keys compare with ``=``, so a NULL key part never links; such rows skip
+    the join (see ``left_join_nonnull_keys``).  Only the left key columns
+    are kept in the output.
     """
-    r = dedupe(right, list(right_keys), right_order)
-    renamed = {k: f"__r_{i}" for i, k in enumerate(right_keys)}
-    for k, v in renamed.items():
-        r = r.withColumnRenamed(k, v)
-    cond = None
-    for lk, rk in zip(left_keys, right_keys):
-        term = left[lk] == r[renamed[rk]]
-        cond = term if cond is None else cond & term
-    out = left.join(r, cond, "left")
-    return out.drop(*renamed.values())
+    nonnull = F.lit(True)
+    for k in right_keys:
+        nonnull = nonnull & F.col(k).isNotNull()
+    r = dedupe(right.filter(nonnull), list(right_keys), right_order)
+    out = left_join_nonnull_keys(left, r, left_keys, right_keys)
+    return out.drop(*[k for k in right_keys if k not in left_keys])
 
 
 def changed_since(df: DataFrame, ts_col: str, as_of, days: int = 1,

@@ -424,3 +424,46 @@ def q_learned_recommend(spark, d):
     return rec.pack_recommendations(ranked, "user_id", "item_id", "cohort_id").select(
         "user_id", "cohort_id", "cohort_name", F.array_join("recommended_games", "|").alias("recommended_games"),
         F.size("recommended_ids").alias("n_recommended"))
+
+
+# --------------------------------------------------------------- more inventory rows
+
+@query("distinct_items", f"""WITH {S.PR}
+SELECT count(DISTINCT item_id) AS n_items FROM pr WHERE playtime_forever > 0""")
+def q_distinct_items(spark, d):
+    """Distinct items with interactions."""
+    return R.positive_rows(spark, d).select("item_id").distinct().agg(F.count(F.lit(1)).alias("n_items"))
+
+
+@query("recent_page", """SELECT event_id, user_id, value FROM events
+WHERE ts > TIMESTAMP '2024-01-04 00:00:00' AND value > 10
+ORDER BY ts DESC, event_id DESC LIMIT 500""")
+def q_recent_page(spark, d):
+    """L2: newest page of a delta (changed since a date, capped)."""
+    e = changed_since(R.table(spark, d, "events"), "ts", "2024-01-05", days=1, min_col="value", min_value=10)
+    return page(e, [F.col("ts").desc(), F.col("event_id").desc()], limit=500).select("event_id", "user_id", "value")
+
+
+@query("consolidate_libraries", f"""WITH {S.PR},
+n AS (SELECT user_id FROM pr GROUP BY user_id HAVING count(*) BETWEEN 1 AND {R.LIBRARY_CAP})
+SELECT pr.user_id::VARCHAR AS steam_id, pr.item_id AS appid, pr.playtime_forever::BIGINT AS playtime_forever
+FROM pr JOIN n USING (user_id)""")
+def q_consolidate_libraries(spark, d):
+    """O3 end to end: per-user library JSON (written by Spark from the
+    tables, lists bounded at 500) drained by the file stream with the
+    library size filter, then read back and exploded."""
+    from playlens.operators.engagement import explode_libraries, library_envelope
+    from playlens.streaming.loads import consolidate_libraries
+
+    rows = R.purchase_rows(spark, d).join(R.items(spark, d).select("item_id", "item_name"), "item_id").select(
+        F.col("user_id").cast("string").alias("steam_id"), F.col("item_id").alias("appid"),
+        F.col("item_name").alias("name"), F.col("playtime_forever").cast("long").alias("playtime_forever"),
+        F.col("playtime_2weeks").cast("long").alias("playtime_2weeks"))
+    env = library_envelope(rows, "steam_id", ["appid", "name", "playtime_forever", "playtime_2weeks"], "appid",
+                           max_items=500, captured_at=F.lit("2024-01-01T00:00:00"))
+    raw = scratch_path(spark, "raw-libraries")
+    env.select("steam_id", F.col("captured_at").alias("scraped_at"), "games").write.json(raw)
+    out, ck = scratch_path(spark, "libraries"), scratch_path(spark, "libraries-ckpt")
+    consolidate_libraries(spark, raw, out, ck, max_items=R.LIBRARY_CAP)
+    libs = spark.read.parquet(out)
+    return explode_libraries(libs, fields={"appid": "appid", "playtime_forever": "playtime_forever"})

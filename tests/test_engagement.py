@@ -56,3 +56,13 @@ def test_item_stats_and_attach(spark):
     out = {r.steam_appid: r for r in eng.attach_stats(items, eng.item_stats(inter), "steam_appid",
                                                       "steam_appid").collect()}
     assert out[6].steam_player_count == 0 and out[6].steam_avg_playtime == 0.0
+
+
+def test_left_join_nonnull_keys(spark):
+    from playlens.operators.joins import left_join_nonnull_keys
+
+    left = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c"), (None, "d")], "k long, v string")
+    right = spark.createDataFrame([(1, 10), (None, 99), (3, 30)], "rk long, x long")
+    out = left_join_nonnull_keys(left, right, ["k"], ["rk"])
+    assert rows(out, "v", "x") == [("a", 10), ("b", None), ("c", None), ("d", None)]
+    assert out.columns == ["k", "v", "rk", "x"]
