@@ -32,7 +32,7 @@ def main() -> None:
     from playlens.plans.registry import QUERIES
     from playlens.session import build_session
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 4 * cpus),
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 4 * cpus))),
                           app_name="playlens-bench",
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     spark.sparkContext.setLogLevel("ERROR")

@@ -192,7 +192,7 @@ query("tag_similarity_wide", S.similarity_sql(R.TAG_CAP_WIDE, R.NEIGHBOURS, "all
 
 def _inter(spark, d):
     """Interactions written once per job: every branch below reads them."""
-    return materialize(R.interactions(spark, d))
+    return materialize(R.interactions(spark, d), "interactions")
 
 
 def _user_tags(spark, d, inter=None):
@@ -233,9 +233,11 @@ def q_tag_lift(spark, d):
                         r6("lift").alias("lift"))
 
 
-def _labelled(spark, d, inter):
-    return materialize(coh.cohort_profile(_user_tags(spark, d, inter), R.given_cohorts(spark, d, inter),
-                              "user_id", "cohort_id", min_users=R.MIN_USERS, min_share=R.MIN_SHARE))
+def _labelled(spark, d, inter, materialized: bool = False):
+    """Labelled users; written once when the caller reads them several times."""
+    lab = coh.cohort_profile(_user_tags(spark, d, inter), R.given_cohorts(spark, d, inter),
+                             "user_id", "cohort_id", min_users=R.MIN_USERS, min_share=R.MIN_SHARE)
+    return materialize(lab, "labelled") if materialized else lab
 
 
 @query("cohort_profile", "WITH " + S.lift_sql(R.MIN_USERS, R.MIN_SHARE) + """
@@ -289,7 +291,7 @@ def q_segment_top_items(spark, d):
 
 def _recommend(spark, d):
     inter = _inter(spark, d)
-    labelled = _labelled(spark, d, inter)
+    labelled = _labelled(spark, d, inter, materialized=True)
     return rec.recommend(inter, labelled, None, "user_id", "item_id", "item_name",
                          cohort="cohort_id", min_score=R.MIN_SCORE, max_share=R.MAX_SHARE,
                          per_cohort=R.PER_COHORT, per_user=R.PER_USER,

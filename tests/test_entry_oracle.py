@@ -28,13 +28,33 @@ def duck():
     return con
 
 
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+
+
+def _check_plan(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [f for f in FORBIDDEN if f in plan], plan
+
+
 @pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     from tools.oracle_check import rows_of
 
-    sp = entry_mod.queries()[name](spark, SF_SMALL).toPandas()
+    df = entry_mod.queries()[name](spark, SF_SMALL)
+    sp = df.toPandas()
+    _check_plan(df)
     dk = duck.execute(entry_mod.oracle_sql()[name]).df()
     c1, r1 = rows_of(sp)
     c2, r2 = rows_of(dk)
     assert c1 == c2
     assert r1 == r2
+
+
+@pytest.mark.parametrize("name", ["cohorts_kmeans", "learned_cohort_profile"])
+def test_rows_only_queries(spark, name):
+    df = entry_mod.queries()[name](spark, SF_SMALL)
+    n = df.count()
+    _check_plan(df)
+    users = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_custkey").distinct().count()
+    assert n == users      # one cohort row per user with interactions
