@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from playlens.functions.scalar import jaccard, unify_tags
 from playlens.operators.topk import top_k
+from playlens.session import materialize
 
 
 def item_tag_rows(items: DataFrame, id_col: str, name_col: str,
@@ -76,7 +77,9 @@ def tag_similarity(items: DataFrame, id_col: str = "igdb_id", name_col: str = "i
     name asc (NULL first), neighbour id asc.
 
     Only numbers travel with the pairs (ids, set sizes, a name-order key);
-    names are joined to the k survivors per item at the end.  The probe side
+    names are joined to the k survivors per item at the end.  The per-item
+    table carrying the order key (one row per item) is written once to the
+    checkpoint folder (an eager, small write) so all readers agree on it.  The probe side
     of the pair join is hash-partitioned by item into ``partitions`` (default
     ``spark.sql.shuffle.partitions``) so the pair fan-out runs in parallel
     even when the catalogue is one small file and the tag side is broadcast;
@@ -95,6 +98,10 @@ def tag_similarity(items: DataFrame, id_col: str = "igdb_id", name_col: str = "i
         meta = meta.drop("n_tags").join(sizes, "id")
     order_keys = name_order(meta)
     meta = meta.join(order_keys, meta["name"].eqNullSafe(order_keys["name"])).drop(order_keys["name"])
+    # written once: the order key comes from a sort, and every consumer (both
+    # sides of the self-join, the final name lookup) must see the same keys,
+    # also when a lost executor forces a recomputation
+    meta = materialize(meta, "item-order")
     kept = kept.join(meta.select("id", "n_tags", "name_ord"), "id")
 
     a = kept.select("tag", F.col("id").alias("a_id"), F.col("n_tags").alias("a_n"),
