@@ -120,3 +120,18 @@ def as_of_filter(df: DataFrame, version_col: str, as_of: str | None,
     if baseline_labels:
         cond = cond | F.col(version_col).isin(list(baseline_labels))
     return df.filter(cond)
+
+
+def pages(df: DataFrame, order_by, page_size: int, max_pages: int) -> DataFrame:
+    """L3: the first ``max_pages`` pages of ``page_size`` rows under a total
+    order, each row tagged with its 1-based ``page``.
+
+    At most ``page_size * max_pages`` rows survive the ordered limit (a
+    top-N per partition, then one bounded merge), so numbering them in one
+    window touches a bounded set.
+    """
+    from pyspark.sql import Window
+
+    top = df.orderBy(*order_by).limit(page_size * max_pages)
+    pos = F.row_number().over(Window.orderBy(*order_by))
+    return top.withColumn("page", ((pos - 1) / page_size).cast("int") + 1)

@@ -467,3 +467,14 @@ def q_consolidate_libraries(spark, d):
     consolidate_libraries(spark, raw, out, ck, max_items=R.LIBRARY_CAP)
     libs = spark.read.parquet(out)
     return explode_libraries(libs, fields={"appid": "appid", "playtime_forever": "playtime_forever"})
+
+
+@query("catalogue_pages", """SELECT p_partkey, p_retailprice,
+       ((row_number() OVER (ORDER BY p_retailprice DESC, p_partkey ASC) - 1) // 40 + 1)::INTEGER AS page
+FROM part ORDER BY p_retailprice DESC, p_partkey ASC LIMIT 12000""")
+def q_catalogue_pages(spark, d):
+    """L3: catalogue by price, 40 per page, at most 300 pages."""
+    from playlens.operators.resolve import pages
+
+    p = R.table(spark, d, "part").select("p_partkey", "p_retailprice")
+    return pages(p, [F.col("p_retailprice").desc(), F.col("p_partkey").asc()], page_size=40, max_pages=300)

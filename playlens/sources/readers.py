@@ -15,6 +15,12 @@ def read_raw_json(spark: SparkSession, path: str, schema: str, multiline: bool =
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path, multiLine=multiline)
 
 
+def daily_path(template: str, date: str) -> str:
+    """The raw file(s) of one load date, e.g.
+    ``daily_path("/raw/catalogue/daily_{date}.json", "20240102")``."""
+    return template.format(date=date)
+
+
 def stream_raw_json(spark: SparkSession, directory: str, schema: str,
                     max_files_per_trigger: int | None = None) -> DataFrame:
     """S3: a directory of one-object JSON files as a stream."""

@@ -84,3 +84,13 @@ def test_fill_defaults_skips_unknown(spark):
     r = fill_defaults(df, {"a": 0, "b": "", "missing": 1}).first()
     assert (r.a, r.b) == (0, "")
     assert spark.createDataFrame([(None,)], "x array<string>").select(arr_or_empty("x")).first()[0] == []
+
+
+def test_select_as_and_daily_path(spark):
+    from playlens.functions.nested import select_as
+    from playlens.sources.readers import daily_path
+
+    df = spark.createDataFrame([("7", "x", 1.5)], "a string, b string, c double")
+    out = select_as(df, {"id": ("a", "long"), "name": "b", "bad": ("b", "int"), "score": F.col("c") * 2})
+    assert out.columns == ["id", "name", "bad", "score"] and tuple(out.first()) == (7, "x", None, 3.0)
+    assert daily_path("/raw/daily_{date}.json", "20240102") == "/raw/daily_20240102.json"

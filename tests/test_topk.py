@@ -31,3 +31,15 @@ def test_top_k_ties_break_on_id_and_plan_has_group_limit(spark):
 def test_dedupe_null_keys_group_together(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, id long")
     assert rows(dedupe(df, ["k"], [F.col("id").asc()]), "id") == [(1,), (3,)]
+
+
+def test_pages_numbering_and_cap(spark):
+    from playlens.operators.resolve import page, pages
+
+    df = spark.createDataFrame([(i, float(i % 7)) for i in range(100)], "id long, v double")
+    order = [F.col("v").desc(), F.col("id").asc()]
+    out = pages(df, order, page_size=10, max_pages=3)
+    got = rows(out, "page")
+    assert len(got) == 30 and got[0] == (1,) and got[-1] == (3,)
+    second = rows(page(df, order, limit=10, offset=10), "id")
+    assert second == rows(out.filter("page = 2"), "id")
