@@ -275,7 +275,8 @@ def q_cohort_scores(spark, d):
 
 
 @query("segment_top_items", "WITH " + S.scores_sql(R.MIN_USERS, R.MIN_SHARE, R.MIN_SCORE, R.MAX_SHARE) + """
-SELECT cohort_id, cohort_rank, item_id, item_name, round(game_cluster_score, 6) AS game_cluster_score
+SELECT cohort_id, cohort_rank::INTEGER AS cohort_rank, item_id, item_name,
+       round(game_cluster_score, 6) AS game_cluster_score
 FROM (SELECT *, row_number() OVER (PARTITION BY cohort_id ORDER BY game_cluster_score DESC, item_id ASC)
         AS cohort_rank FROM cs)
 WHERE cohort_rank <= 10""")
@@ -300,7 +301,7 @@ def _recommend(spark, d):
 
 @query("recommend", "WITH " + S.reco_sql(R.MIN_USERS, R.MIN_SHARE, R.MIN_SCORE, R.MAX_SHARE, R.PER_COHORT,
                                R.PER_USER) + """
-SELECT user_id, cohort_id, cohort_name, reco_rank, item_id, item_name,
+SELECT user_id, cohort_id, cohort_name, reco_rank::INTEGER AS reco_rank, item_id, item_name,
        round(game_cluster_score, 6) AS game_cluster_score FROM ranked""")
 def q_recommend(spark, d):
     return _recommend(spark, d).select("user_id", "cohort_id", "cohort_name", "reco_rank", "item_id",

@@ -265,7 +265,7 @@ def q_upsert_items(spark, d):
 
 @query("documents", _UPSERT_SQL + """
 SELECT p_partkey::VARCHAR AS doc_id,
-       to_json({'p_partkey': p_partkey, 'p_name': p_name, 'p_retailprice': p_retailprice}) AS body
+       to_json({'p_partkey': p_partkey, 'p_name': p_name, 'p_retailprice': p_retailprice})::VARCHAR AS body
 FROM merged""")
 def q_documents(spark, d):
     return to_documents(_upserted(spark, d), "p_partkey")
@@ -361,7 +361,7 @@ def q_report_cohort_sizes(spark, d):
                                                R.PER_COHORT, R.PER_USER) + """,
 cnt AS (SELECT cohort_id, item_id, count(*) AS n_users, max(item_name) AS item_name FROM ranked
         GROUP BY cohort_id, item_id)
-SELECT cohort_id, item_id, n_users, item_name, rank FROM (
+SELECT cohort_id, item_id, n_users, item_name, rank::INTEGER AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY cohort_id ORDER BY n_users DESC, item_id ASC) AS rank FROM cnt)
 WHERE rank <= 5""")
 def q_report_top_items(spark, d):
@@ -369,7 +369,7 @@ def q_report_top_items(spark, d):
 
 
 @query("report_neighbour_overlap", S.similarity_sql(R.TAG_CAP, R.NEIGHBOURS, "all").replace(
-    "SELECT id, rank, nbr_id, nbr_name, shared, round(score, 6) AS score FROM ranked WHERE rank <=",
+    "SELECT id, rank::INTEGER AS rank, nbr_id, nbr_name, shared, round(score, 6) AS score FROM ranked WHERE rank <=",
     "SELECT p.p_partkey AS item_id, 1::BIGINT AS n_editorial, count(r.id) AS n_computed,\n"
     "  CASE WHEN count(r.id) FILTER (WHERE r.nbr_name = p.p_name) > 0 THEN 1 ELSE 0 END::BIGINT AS n_shared\n"
     "FROM part p LEFT JOIN (SELECT * FROM ranked WHERE rank <= " + str(R.NEIGHBOURS) + ") r ON r.id = p.p_partkey\n"

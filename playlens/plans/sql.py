@@ -122,4 +122,4 @@ ranked AS (SELECT id, nbr_id, nbr_name, shared,
                   row_number() OVER (PARTITION BY id ORDER BY shared::DOUBLE / (a_n + b_n - shared) DESC,
                                      nbr_name ASC NULLS FIRST, nbr_id ASC) AS rank
            FROM pairs)
-SELECT id, rank, nbr_id, nbr_name, shared, round(score, 6) AS score FROM ranked WHERE rank <= {k}"""
+SELECT id, rank::INTEGER AS rank, nbr_id, nbr_name, shared, round(score, 6) AS score FROM ranked WHERE rank <= {k}"""

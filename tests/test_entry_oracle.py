@@ -28,6 +28,8 @@ def duck():
     return con
 
 
+SAME_TYPE = {("bigint", "BIGINT"), ("int", "INTEGER"), ("double", "DOUBLE"), ("string", "VARCHAR"),
+             ("boolean", "BOOLEAN"), ("float", "FLOAT"), ("date", "DATE")}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
@@ -44,7 +46,11 @@ def test_query_matches_oracle(spark, duck, name):
     df = entry_mod.queries()[name](spark, SF_SMALL)
     sp = df.toPandas()
     _check_plan(df)
-    dk = duck.execute(entry_mod.oracle_sql()[name]).df()
+    rel = duck.execute(entry_mod.oracle_sql()[name])
+    duck_types = {d[0]: str(d[1]) for d in rel.description}
+    dk = rel.df()
+    for f in df.schema.fields:                       # same column types on both sides
+        assert (f.dataType.simpleString(), duck_types[f.name]) in SAME_TYPE, (f.name, duck_types[f.name])
     c1, r1 = rows_of(sp)
     c2, r2 = rows_of(dk)
     assert c1 == c2
