@@ -60,7 +60,7 @@ def q_item_stats(spark, d):
 SELECT user_id, item_id, playtime_forever, round(global_avg_playtime, 6) AS global_avg_playtime,
        round(implicit_preference_score, 6) AS implicit_preference_score FROM inter""")
 def q_affinity(spark, d):
-    s = eng.score_interactions(R.purchase_rows(spark, d), item="item_id")
+    s = eng.score_interactions(materialize(R.purchase_rows(spark, d), "purchases"), item="item_id")
     return s.select("user_id", "item_id", "playtime_forever",
                     r6("global_avg_playtime").alias("global_avg_playtime"),
                     r6("implicit_preference_score").alias("implicit_preference_score"))

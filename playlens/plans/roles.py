@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.operators.engagement import enrich, positive, score_interactions
+from playlens.session import materialize
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -61,7 +62,9 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O4 on the driver tables: positive playtime, item average, affinity,
     item name and profile tags attached (one catalogue row per item)."""
-    scored = score_interactions(purchase_rows(spark, sf_dir), item="item_id")
+    # the item average and the rows it is joined back to both read the
+    # purchase rows: write them once instead of joining lineitem twice
+    scored = score_interactions(materialize(purchase_rows(spark, sf_dir), "purchases"), item="item_id")
     return enrich(scored, items(spark, sf_dir), "item_id", ["item_name", "profile_tags"],
                   order_by=[F.col("item_id")])
 

@@ -64,3 +64,15 @@ def test_rows_only_queries(spark, name):
     _check_plan(df)
     users = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_custkey").distinct().count()
     assert n == users      # one cohort row per user with interactions
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    df = entry_mod.queries()["changed_since"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(ts), IsNotNull(value), GreaterThan(ts" in plan
+    assert "GreaterThan(value,10.0)" in plan
+    assert "props" not in plan                       # unused column never read
+    stats = entry_mod.queries()["item_stats"](spark, SF_SMALL)
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_linestatus:string>" in plan
+    assert "l_extendedprice" not in plan and "o_totalprice" not in plan
