@@ -90,3 +90,21 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes``.
+
+    The initial shuffle width gives each partition about ``partition_bytes``
+    of input (and at least 3 tasks per core); AQE then coalesces small
+    partitions and splits skewed ones at runtime.  Scan splits stay at
+    128 MiB so every task's input fits executor memory.
+    """
+    initial = max(3 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }

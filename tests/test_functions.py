@@ -94,3 +94,12 @@ def test_select_as_and_daily_path(spark):
     out = select_as(df, {"id": ("a", "long"), "name": "b", "bad": ("b", "int"), "score": F.col("c") * 2})
     assert out.columns == ["id", "name", "bad", "score"] and tuple(out.first()) == (7, "x", None, 3.0)
     assert daily_path("/raw/daily_{date}.json", "20240102") == "/raw/daily_20240102.json"
+
+
+def test_cluster_conf_scales_with_input():
+    from playlens.session import cluster_conf
+
+    big = cluster_conf(100 * 2**40, total_cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    small = cluster_conf(10 * 2**20, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
