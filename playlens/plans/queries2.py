@@ -368,12 +368,11 @@ def q_report_top_items(spark, d):
     return rep.report_top_items(_recommend(spark, d), "cohort_id", "item_id", 5)
 
 
-@query("report_neighbour_overlap", S.similarity_sql(R.TAG_CAP, R.NEIGHBOURS, "all").replace(
-    "SELECT id, rank::INTEGER AS rank, nbr_id, nbr_name, shared, round(score, 6) AS score FROM ranked WHERE rank <=",
-    "SELECT p.p_partkey AS item_id, 1::BIGINT AS n_editorial, count(r.id) AS n_computed,\n"
-    "  CASE WHEN count(r.id) FILTER (WHERE r.nbr_name = p.p_name) > 0 THEN 1 ELSE 0 END::BIGINT AS n_shared\n"
-    "FROM part p LEFT JOIN (SELECT * FROM ranked WHERE rank <= " + str(R.NEIGHBOURS) + ") r ON r.id = p.p_partkey\n"
-    "GROUP BY p.p_partkey --").replace(f"-- {R.NEIGHBOURS}", ""))
+@query("report_neighbour_overlap", S.similarity_sql(R.TAG_CAP, R.NEIGHBOURS, "all", f"""SELECT p.p_partkey AS item_id,
+  1::BIGINT AS n_editorial, count(r.id) AS n_computed,
+  (CASE WHEN count(r.id) FILTER (WHERE r.nbr_name = p.p_name) > 0 THEN 1 ELSE 0 END)::BIGINT AS n_shared
+FROM part p LEFT JOIN (SELECT * FROM ranked WHERE rank <= {R.NEIGHBOURS}) r ON r.id = p.p_partkey
+GROUP BY p.p_partkey"""))
 def q_report_neighbour_overlap(spark, d):
     items = R.items(spark, d).withColumn("similar_game_names", F.array("item_name"))
     cat = sim.compute_similar_games(items, "item_id", "item_name", ["genre_names", "theme_names", "tag_names"],

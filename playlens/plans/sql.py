@@ -107,7 +107,9 @@ ITEM_TAGS = """tags AS (
 freq AS (SELECT tag, count(*) AS n_items FROM tags GROUP BY tag)"""
 
 
-def similarity_sql(cap: int, k: int, basis: str) -> str:
+def similarity_sql(cap: int, k: int, basis: str, final_select: str | None = None) -> str:
+    """Top-k tag neighbours; ``final_select`` replaces the last SELECT (it can
+    read ``ranked``: id, nbr_id, nbr_name, shared, score, rank)."""
     sizes_from = "tags" if basis == "all" else "kept0"
     return f"""WITH {ITEM_TAGS},
 kept0 AS (SELECT t.* FROM tags t JOIN freq f USING (tag) WHERE f.n_items <= {cap} AND t.tag IS NOT NULL),
@@ -122,4 +124,5 @@ ranked AS (SELECT id, nbr_id, nbr_name, shared,
                   row_number() OVER (PARTITION BY id ORDER BY shared::DOUBLE / (a_n + b_n - shared) DESC,
                                      nbr_name ASC NULLS FIRST, nbr_id ASC) AS rank
            FROM pairs)
-SELECT id, rank::INTEGER AS rank, nbr_id, nbr_name, shared, round(score, 6) AS score FROM ranked WHERE rank <= {k}"""
+""" + (final_select or f"""SELECT id, rank::INTEGER AS rank, nbr_id, nbr_name, shared, round(score, 6) AS score
+FROM ranked WHERE rank <= {k}""")
