@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens.functions.scalar import lift
@@ -48,11 +48,13 @@ def tag_lift(user_tags: DataFrame, assignments: DataFrame, user: str = "steam_id
     total = a.agg(F.count(F.lit(1))).scalar()
     per_cohort = ut.join(a, user).groupBy(cohort, "tag").agg(F.count(F.lit(1)).alias("cohort_tag_users"))
     # every user is in exactly one cohort, so a tag's users are the sum of its
-    # per-cohort users: a second, small aggregate instead of another pass
-    global_counts = (per_cohort.groupBy("tag").agg(F.sum("cohort_tag_users").alias("global_tag_users"))
-                     .withColumn("global_prop", F.col("global_tag_users") / total))
+    # per-cohort users: a window over the (cohort, tag) table, where a tag has
+    # at most one row per cohort, instead of a second pass over the users
+    per_tag = Window.partitionBy("tag")
+    with_global = (per_cohort.withColumn("global_tag_users", F.sum("cohort_tag_users").over(per_tag))
+                   .withColumn("global_prop", F.col("global_tag_users") / total))
     sizes = broadcast_if_bounded(cohort_sizes(a, cohort), n_cohorts)
-    return (per_cohort.join(sizes, cohort).join(global_counts, "tag")
+    return (with_global.join(sizes, cohort)
             .withColumn("cohort_prop", F.col("cohort_tag_users") / F.col("cohort_size"))
             .withColumn("lift", lift(F.col("cohort_prop"), F.col("global_prop"))))
 
