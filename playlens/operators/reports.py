@@ -42,3 +42,8 @@ def report_neighbour_overlap(catalogue: DataFrame, id_col: str = "igdb_id") -> D
         F.size("similar_game_names").alias("n_editorial"),
         F.size("computed_similar_games").alias("n_computed"),
         F.size(F.array_intersect("similar_game_names", "computed_similar_games")).alias("n_shared"))
+
+
+def preview(df: DataFrame, order_by, n: int = 5) -> DataFrame:
+    """The first ``n`` rows under a total order (a bounded top-N)."""
+    return df.orderBy(*order_by).limit(n)

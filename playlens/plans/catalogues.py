@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from playlens.operators.formatting import format_catalogue_a, format_catalogue_b
 from playlens.plans.roles import table
+from playlens.session import materialize
 
 EPOCH_2000 = 946684800
 YEAR_SECONDS = 31536000
@@ -120,7 +121,8 @@ def raw_catalogue_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formatted catalogue A in two loads: the bulk ``initial`` and one daily
     load re-rating the items of size > 40."""
-    base = format_catalogue_a(raw_catalogue_a(spark, sf_dir))
+    # the bulk load and the daily load both come from one formatting pass
+    base = materialize(format_catalogue_a(raw_catalogue_a(spark, sf_dir)), "silver-a")
     daily = (base.filter(F.col("rating_count") > 40)
              .withColumn("rating", (F.col("rating") * 2).cast("float"))
              .withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 1 DAY")))

@@ -80,3 +80,10 @@ def test_not_ubiquitous_strict_share(spark):
     inter = spark.createDataFrame(data, "steam_id string, steam_appid long, implicit_preference_score double")
     pop = rec.not_ubiquitous(rec.item_popularity(inter), rec.total_users(inter), 0.20)
     assert rows(pop, "steam_appid") == [(1,)]
+
+
+def test_preview_is_ordered_and_bounded(spark):
+    from playlens.operators.reports import preview
+
+    df = spark.createDataFrame([(i, f"u{i}") for i in range(20)], "id long, steam_id string")
+    assert [r.id for r in preview(df, [F.col("id").desc()], 5).collect()] == [19, 18, 17, 16, 15]
