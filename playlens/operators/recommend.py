@@ -90,15 +90,21 @@ def recommend(interactions: DataFrame, labelled: DataFrame, owned: DataFrame | N
     ``labelled`` is ``(user, cohort, cohort_name)``.  ``owned`` is the
     ``(user, item)`` ownership frame (default: the interactions).  The
     candidate table has at most ``n_cohorts * per_cohort`` rows; it is
-    broadcast when that bound is known, so the fan-out to users never
-    shuffles users by cohort (a handful of keys).
+    broadcast when that bound fits (``n_cohorts`` is counted when not
+    given), so the fan-out to users never shuffles users onto a handful of
+    cohort keys; beyond the bound it stays a shuffle join on many keys.
     """
     scores = cohort_scores(interactions, labelled, user, item, name, score, cohort,
                            min_score, max_share, exponent, with_names=False)
     top = cohort_top_items(scores, item, cohort, per_cohort).select(cohort, item, "game_cluster_score")
     top = top.join(item_names(interactions, item, name), item, "left")
-    bound = n_cohorts * per_cohort if n_cohorts is not None else None
-    cand = labelled.select(user, cohort, "cohort_name").join(broadcast_if_bounded(top, bound), cohort)
+    if n_cohorts is None:
+        # measure the bound (a map-side-combined distinct count): with few
+        # cohorts the fan-out must not shuffle users onto a handful of keys;
+        # with very many, the shuffle join on cohort spreads well by itself
+        n_cohorts = labelled.select(cohort).distinct().count()
+    cand = labelled.select(user, cohort, "cohort_name").join(
+        broadcast_if_bounded(top, n_cohorts * per_cohort), cohort)
     own = (owned if owned is not None else interactions).select(user, item)
     fresh = cand.join(own, [user, item], "left_anti")
     return top_k(fresh, user, [F.col("game_cluster_score").desc_nulls_last(), F.col(item).asc()],
