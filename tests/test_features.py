@@ -1,6 +1,5 @@
 import math
 
-from pyspark.sql import functions as F
 
 from playlens.operators import features as feat
 
