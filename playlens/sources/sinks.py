@@ -61,6 +61,14 @@ def _versions(spark: SparkSession, table: str) -> list[int]:
     return sorted(out)
 
 
+def _commit(df: DataFrame, table: str, version: int) -> str:
+    """Write snapshot ``version``.  A folder left by a failed attempt has no
+    ``_SUCCESS`` and is never read, so a retry simply overwrites it."""
+    path = f"{table.rstrip('/')}/v{version:08d}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     return bool(_versions(spark, table))
 
@@ -78,9 +86,7 @@ def init_table(df: DataFrame, table: str) -> str:
     spark = df.sparkSession
     if table_exists(spark, table):
         raise FileExistsError(f"{table} already has snapshots")
-    path = f"{table.rstrip('/')}/v{1:08d}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
+    return _commit(df, table, 1)
 
 
 def upsert_table(source: DataFrame, table: str, keys: list[str]) -> str:
@@ -93,9 +99,7 @@ def upsert_table(source: DataFrame, table: str, keys: list[str]) -> str:
     if not vs:
         return init_table(upsert(source.limit(0), source, keys), table)
     merged = upsert(read_current(spark, table), source, keys)
-    path = f"{table.rstrip('/')}/v{vs[-1] + 1:08d}"
-    merged.write.mode("errorifexists").parquet(path)
-    return path
+    return _commit(merged, table, vs[-1] + 1)
 
 
 def to_documents(df: DataFrame, id_col: str) -> DataFrame:

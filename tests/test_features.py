@@ -1,6 +1,5 @@
 import math
 
-
 from playlens.operators import features as feat
 
 

@@ -53,3 +53,15 @@ def test_bfs_processes_each_node_once(spark):
     assert got == [("a", "processed"), ("b", "processed"), ("c", "processed"), ("d", "processed")]
     one = fr.frontier_step(edges, fr.seed_state(seeds), batch=1)
     assert rows(one, "node", "status") == [("a", "processed"), ("b", "queued")]
+
+
+def test_snapshot_retry_after_failed_write(spark):
+    root = tempfile.mkdtemp(prefix="pl-retry-")
+    table = os.path.join(root, "items")
+    sinks.upsert_table(spark.createDataFrame([(1, "a")], T), table, ["id"])
+    os.makedirs(os.path.join(table, "v00000002"))           # a crashed attempt: no _SUCCESS
+    with open(os.path.join(table, "v00000002", "part-0.parquet"), "w") as f:
+        f.write("garbage")
+    assert rows(sinks.read_current(spark, table)) == [(1, "a")]   # uncommitted folder ignored
+    sinks.upsert_table(spark.createDataFrame([(2, "b")], T), table, ["id"])
+    assert rows(sinks.read_current(spark, table)) == [(1, "a"), (2, "b")]
