@@ -19,6 +19,15 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+def _driver_memory() -> str:
+    """16 GiB, or 60 % of physical memory on a smaller machine."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError):
+        return "4g"
+    return f"{max(1, min(16, int(total * 0.6) >> 30))}g"
+
+
 HEADLINE = ["master", "tag_similarity_wide", "cohort_profile", "recommend", "segment_top_items"]
 
 
@@ -34,7 +43,7 @@ def main() -> None:
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 4 * cpus))),
                           app_name="playlens-bench",
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", _driver_memory())})
     spark.sparkContext.setLogLevel("ERROR")
 
     timings: dict[str, float] = {}
