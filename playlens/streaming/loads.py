@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from playlens.functions.scalar import safe_ts
 from playlens.operators.engagement import valid_libraries
+from playlens.sources.readers import stream_raw_json
 from playlens.sources.schemas import LIBRARY_SCHEMA
 
 
@@ -39,7 +40,7 @@ def run_available_now(sdf: DataFrame, out_dir: str, checkpoint_dir: str,
 def consolidate_libraries(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str,
                           max_items: int = 500, schema: str = LIBRARY_SCHEMA) -> int:
     """O3: raw library files -> typed, valid libraries (stateless stream)."""
-    raw = spark.readStream.schema(schema).json(source_dir)
+    raw = stream_raw_json(spark, source_dir, schema)
     shaped = raw.select("steam_id", safe_ts("scraped_at").alias("scraped_at"), "games")
     return run_available_now(valid_libraries(shaped, "steam_id", "games", max_items), out_dir,
                              checkpoint_dir)
