@@ -65,3 +65,16 @@ def test_snapshot_retry_after_failed_write(spark):
     assert rows(sinks.read_current(spark, table)) == [(1, "a")]   # uncommitted folder ignored
     sinks.upsert_table(spark.createDataFrame([(2, "b")], T), table, ["id"])
     assert rows(sinks.read_current(spark, table)) == [(1, "a"), (2, "b")]
+
+
+def test_as_of_prunes_load_partitions(spark):
+    from playlens.operators.resolve import as_of_filter
+    from playlens.sources.readers import read_silver
+
+    root = tempfile.mkdtemp(prefix="pl-asof-")
+    for dt, v in (("initial", "bulk"), ("20240101", "d1"), ("20240102", "d2")):
+        sinks.write_partition(spark.createDataFrame([(1, v)], T), root, dt)
+    df = as_of_filter(read_silver(spark, root), "dt", "20240101")
+    assert rows(df, "v") == [("bulk",), ("d1",)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "20240101" in plan.split("PartitionFilters: [")[1].split("]")[0]
