@@ -97,14 +97,18 @@ def recommend(interactions: DataFrame, labelled: DataFrame, owned: DataFrame | N
     scores = cohort_scores(interactions, labelled, user, item, name, score, cohort,
                            min_score, max_share, exponent, with_names=False)
     top = cohort_top_items(scores, item, cohort, per_cohort).select(cohort, item, "game_cluster_score")
-    top = top.join(item_names(interactions, item, name), item, "left")
     if n_cohorts is None:
         # measure the bound (a map-side-combined distinct count): with few
         # cohorts the fan-out must not shuffle users onto a handful of keys;
         # with very many, the shuffle join on cohort spreads well by itself
         n_cohorts = labelled.select(cohort).distinct().count()
-    cand = labelled.select(user, cohort, "cohort_name").join(
-        broadcast_if_bounded(top, n_cohorts * per_cohort), cohort)
+    bound = n_cohorts * per_cohort
+    # names only for the candidate items: a bounded semi-join first, so the
+    # name lookup never shuffles the whole interaction table
+    wanted = broadcast_if_bounded(top.select(item).distinct(), bound)
+    names = item_names(interactions.join(wanted, item, "left_semi"), item, name)
+    top = top.join(names, item, "left")
+    cand = labelled.select(user, cohort, "cohort_name").join(broadcast_if_bounded(top, bound), cohort)
     own = (owned if owned is not None else interactions).select(user, item)
     fresh = cand.join(own, [user, item], "left_anti")
     return top_k(fresh, user, [F.col("game_cluster_score").desc_nulls_last(), F.col(item).asc()],
