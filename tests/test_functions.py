@@ -103,3 +103,38 @@ def test_cluster_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     small = cluster_conf(10 * 2**20, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_checkpoint_root_reads_session_then_falls_back():
+    from playlens.session import checkpoint_root
+
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value if key == "spark.checkpoint.dir" else default
+
+        def set(self, key, value):
+            self.value = value
+
+    class Ctx:
+        def __init__(self):
+            self.dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Session:
+        def __init__(self, value):
+            self.conf, self.sparkContext = Conf(value), Ctx()
+
+    shared = Session("hdfs://cluster/checkpoints/")
+    assert checkpoint_root(shared) == "hdfs://cluster/checkpoints"      # the cluster's folder is used
+    assert shared.sparkContext.dir == "hdfs://cluster/checkpoints/"
+    local = Session(None)
+    root = checkpoint_root(local)                                         # unset: a private folder (tests)
+    assert local.conf.value == root and local.sparkContext.dir == root
