@@ -43,6 +43,19 @@ def item_names(interactions: DataFrame, item: str = "steam_appid", name: str = "
             .groupBy(item).agg(F.max(name).alias("item_name")))
 
 
+def attach_item_names(top: DataFrame, interactions: DataFrame, item: str = "steam_appid",
+                      name: str = "game_name", bound: int | None = None) -> DataFrame:
+    """Left-join ``item_name`` onto a small ranked table.
+
+    Names are looked up only for the items in ``top`` (a semi-join, broadcast
+    when ``bound`` proves the table small), so the lookup never shuffles the
+    whole interaction table.
+    """
+    wanted = broadcast_if_bounded(top.select(item).distinct(), bound)
+    names = item_names(interactions.join(wanted, item, "left_semi"), item, name)
+    return top.join(names, item, "left")
+
+
 def cohort_scores(interactions: DataFrame, labelled: DataFrame, user: str = "steam_id",
                   item: str = "steam_appid", name: str = "game_name",
                   score: str = "implicit_preference_score", cohort: str = "cohort_id",
@@ -103,11 +116,7 @@ def recommend(interactions: DataFrame, labelled: DataFrame, owned: DataFrame | N
         # with very many, the shuffle join on cohort spreads well by itself
         n_cohorts = labelled.select(cohort).distinct().count()
     bound = n_cohorts * per_cohort
-    # names only for the candidate items: a bounded semi-join first, so the
-    # name lookup never shuffles the whole interaction table
-    wanted = broadcast_if_bounded(top.select(item).distinct(), bound)
-    names = item_names(interactions.join(wanted, item, "left_semi"), item, name)
-    top = top.join(names, item, "left")
+    top = attach_item_names(top, interactions, item, name, bound)
     cand = labelled.select(user, cohort, "cohort_name").join(broadcast_if_bounded(top, bound), cohort)
     own = (owned if owned is not None else interactions).select(user, item)
     fresh = cand.join(own, [user, item], "left_anti")

@@ -285,8 +285,9 @@ def q_segment_top_items(spark, d):
     """Flagship: top-10 items per market segment by the cohort item score."""
     inter = _inter(spark, d)
     s = rec.cohort_scores(inter, R.given_cohorts(spark, d, inter), "user_id", "item_id", "item_name",
-                          cohort="cohort_id", min_score=R.MIN_SCORE, max_share=R.MAX_SHARE)
+                          cohort="cohort_id", min_score=R.MIN_SCORE, max_share=R.MAX_SHARE, with_names=False)
     top = rec.cohort_top_items(s, "item_id", "cohort_id", 10)
+    top = rec.attach_item_names(top, inter, "item_id", "item_name", R.n_given_cohorts(spark, d) * 10)
     return top.select("cohort_id", "cohort_rank", "item_id", "item_name",
                       r6("game_cluster_score").alias("game_cluster_score"))
 
