@@ -96,7 +96,8 @@ def recommend(interactions: DataFrame, labelled: DataFrame, owned: DataFrame | N
               user: str = "steam_id", item: str = "steam_appid", name: str = "game_name",
               score: str = "implicit_preference_score", cohort: str = "cohort_id",
               min_score: float = 10.0, max_share: float = 0.20, exponent: float = 1.2,
-              per_cohort: int = 30, per_user: int = 10, n_cohorts: int | None = None) -> DataFrame:
+              per_cohort: int = 30, per_user: int = 10, n_cohorts: int | None = None,
+              assignments: DataFrame | None = None) -> DataFrame:
     """Whole O9 before packing: ``(user, cohort, cohort_name, reco_rank, item,
     item_name, game_cluster_score)``.
 
@@ -106,9 +107,11 @@ def recommend(interactions: DataFrame, labelled: DataFrame, owned: DataFrame | N
     broadcast when that bound fits (``n_cohorts`` is counted when not
     given), so the fan-out to users never shuffles users onto a handful of
     cohort keys; beyond the bound it stays a shuffle join on many keys.
+    ``assignments`` (``(user, cohort)``, optional) is used for scoring, so
+    the labelled table (which carries names) is read only once.
     """
-    scores = cohort_scores(interactions, labelled, user, item, name, score, cohort,
-                           min_score, max_share, exponent, with_names=False)
+    scores = cohort_scores(interactions, assignments if assignments is not None else labelled, user, item,
+                           name, score, cohort, min_score, max_share, exponent, with_names=False)
     top = cohort_top_items(scores, item, cohort, per_cohort).select(cohort, item, "game_cluster_score")
     if n_cohorts is None:
         # measure the bound (a map-side-combined distinct count): with few

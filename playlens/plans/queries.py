@@ -233,9 +233,10 @@ def q_tag_lift(spark, d):
                         r6("lift").alias("lift"))
 
 
-def _labelled(spark, d, inter, materialized: bool = False):
+def _labelled(spark, d, inter, materialized: bool = False, cohorts=None):
     """Labelled users; written once when the caller reads them several times."""
-    cohorts = materialize(R.given_cohorts(spark, d, inter), "cohorts")   # read four times below
+    if cohorts is None:
+        cohorts = materialize(R.given_cohorts(spark, d, inter), "cohorts")   # read four times below
     lab = coh.cohort_profile(_user_tags(spark, d, inter), cohorts,
                              "user_id", "cohort_id", min_users=R.MIN_USERS, min_share=R.MIN_SHARE)
     return materialize(lab, "labelled") if materialized else lab
