@@ -87,3 +87,14 @@ def test_preview_is_ordered_and_bounded(spark):
 
     df = spark.createDataFrame([(i, f"u{i}") for i in range(20)], "id long, steam_id string")
     assert [r.id for r in preview(df, [F.col("id").desc()], 5).collect()] == [19, 18, 17, 16, 15]
+
+
+def test_assignments_frame_and_bounded_names(spark):
+    inter, labelled = _reco_fixture(spark)
+    base = rec.recommend(inter, labelled, min_score=0.0, max_share=0.5, per_user=2, n_cohorts=2)
+    alt = rec.recommend(inter, labelled, min_score=0.0, max_share=0.5, per_user=2, n_cohorts=2,
+                        assignments=labelled.select("steam_id", "cohort_id"))
+    assert rows(base) == rows(alt)
+    top = spark.createDataFrame([(1,), (4,)], "steam_appid long")
+    named = rec.attach_item_names(top, inter, bound=2)
+    assert rows(named) == [(1, "Uno"), (4, None)]          # greatest name per id; NULL kept
