@@ -15,10 +15,12 @@ from playlens.llm.common import pick, scratch_path, ship, table
 from playlens.llm.chat import events_of, format_events, read_back
 from playlens.llm.decontaminate import mark_contamination
 from playlens.llm import idcoder
+from playlens.llm.line_dedup import dedup_lines
 from playlens.llm.packing import pack_documents
 from playlens.llm.sharding import shuffle_into_shards
 from playlens.llm.simhash_dedup import simhash_dedup
 from playlens.llm.tokens import default_path, vocabulary_size
+from playlens.llm.vector_dedup import vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +36,14 @@ def query(fn):
     return run
 
 
+@query
+def op3_line_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated and nearly repeated lines."""
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
+    return dedup_lines(docs.withColumn("before", F.size(F.split("text", "\n")).cast("long")), least=0.8).select(
+        "doc_id", F.col("before").alias("n_lines"), F.col("lines_removed").cast("long").alias("lines_removed"), "text")
+
+
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word windows of all benchmark items against all documents."""
@@ -76,6 +86,12 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("formatted_chars").cast("long").alias("formatted_chars"))
 
 
+@query
+def op7_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors, linked at cosine 0.95 or more."""
+    return vector_dedup(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", least=0.95)
+
+
 @query
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash over 4-word shingles, links at 4 or fewer differing bits."""
