@@ -15,11 +15,13 @@ from playlens.llm.common import pick, scratch_path, ship, table
 from playlens.llm.chat import events_of, format_events, read_back
 from playlens.llm.decontaminate import mark_contamination
 from playlens.llm import idcoder
+from playlens.llm.license_scan import scan_licenses
 from playlens.llm.line_dedup import dedup_lines
 from playlens.llm.packing import pack_documents
 from playlens.llm.sharding import shuffle_into_shards
 from playlens.llm.simhash_dedup import simhash_dedup
 from playlens.llm.tokens import default_path, vocabulary_size
+from playlens.llm.toxicity import fit_on_labels, held_out, score_documents
 from playlens.llm.vector_dedup import vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +38,24 @@ def query(fn):
     return run
 
 
+@query
+def op1_license_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document with notices: how many, and the templates they follow."""
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    return found.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_notices"), F.array_join(F.array_sort(F.collect_set("template")), ",").alias("templates"),
+        F.max("reduction").alias("best_reduction"), F.sum(F.col("missing") + F.col("foreign")).alias("n_differences"))
+
+
+@query
+def op2_dictionary_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every whole text."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_on_labels(docs, labels)
+    return score_documents(pick(docs, doc_id="doc_id", text="text"), model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query
 def op3_line_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without repeated and nearly repeated lines."""
