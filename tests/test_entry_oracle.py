@@ -4,6 +4,7 @@ import pytest
 from tests.conftest import SF_SMALL
 
 import __spark_entry__ as entry_mod
+from playlens.plans.registry import ORACLE, QUERIES
 
 
 def test_entry_runs(spark):
@@ -13,8 +14,9 @@ def test_entry_runs(spark):
 
 
 def test_registry_keys():
-    q, o = entry_mod.queries(), entry_mod.oracle_sql()
-    assert set(o) <= set(q)
+    assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
+    q, o = QUERIES, ORACLE
+    assert set(q) <= set(entry_mod.queries()) and set(o) <= set(entry_mod.oracle_sql())
     assert set(q) - set(o) == {"cohorts_kmeans", "cohort_quality", "learned_cohort_profile", "learned_recommend"}
 
 
@@ -39,7 +41,7 @@ def _check_plan(df):
     assert not [f for f in FORBIDDEN if f in plan], plan
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     from tools.oracle_check import rows_of
 
