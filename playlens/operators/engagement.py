@@ -13,14 +13,14 @@ from playlens.operators.topk import dedupe
 
 
 def valid_libraries(libs: DataFrame, user: str = "steam_id", items: str = "games",
-                    max_items: int = 500, min_items: int = 1) -> DataFrame:
+                    max_items: int | None = None, min_items: int = 1) -> DataFrame:
     """Libraries with a user id and ``min_items <= size(items) <= max_items``.
 
     Works on batch and streaming frames (stateless filter).
     """
     n = F.size(F.col(items))
     return libs.filter(F.col(user).isNotNull() & F.col(items).isNotNull()
-                       & (n >= min_items) & (n <= max_items))
+                       & (n >= min_items) & (F.lit(True) if max_items is None else n <= max_items))
 
 
 def explode_libraries(libs: DataFrame, user: str = "steam_id", items: str = "games",
@@ -38,27 +38,27 @@ def library_sizes(rows: DataFrame, user: str) -> DataFrame:
     return rows.groupBy(user).agg(F.count(F.lit(1)).alias("n_items"))
 
 
-def capped_library_rows(rows: DataFrame, user: str, max_items: int = 500,
+def capped_library_rows(rows: DataFrame, user: str, max_items: int | None = None,
                         min_items: int = 1) -> DataFrame:
     """Flat library rows of users whose library size is within bounds.
 
     Same result as building each list, filtering on ``size`` and exploding,
-    but computed as a count per user plus a semi-join, so no list is ever
+    (``max_items=None``: no upper bound) but computed as a count per user plus a semi-join, so no list is ever
     materialised and a user with a huge history never lands in one task.
     """
     ok = (library_sizes(rows, user)
-          .filter((F.col("n_items") >= min_items) & (F.col("n_items") <= max_items))
+          .filter((F.col("n_items") >= min_items) & (F.lit(True) if max_items is None else F.col("n_items") <= max_items))
           .select(user))
     return rows.join(ok, user, "left_semi")
 
 
 def library_envelope(rows: DataFrame, user: str, element_cols: Sequence[str],
-                     order_col: str, max_items: int = 500,
+                     order_col: str, max_items: int | None = None,
                      captured_at: Column | None = None) -> DataFrame:
     """Nested library per user: ``(user, captured_at, games array<struct>)``.
 
-    Users are first restricted to libraries of at most ``max_items`` rows, so
-    every collected list is bounded; elements are sorted by ``order_col``.
+    ``max_items`` leaves out larger libraries (None: keeps all; a list then has
+    one element per item of its user); elements are sorted by ``order_col``.
     """
     kept = capped_library_rows(rows, user, max_items=max_items)
     elem = F.struct(*[F.col(c) for c in element_cols])

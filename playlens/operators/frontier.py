@@ -20,28 +20,26 @@ def seed_state(seeds: DataFrame, node: str = "node") -> DataFrame:
     return seeds.select(F.col(node).alias("node")).distinct().withColumn("status", F.lit(QUEUED))
 
 
-def frontier_step(edges: DataFrame, state: DataFrame, batch: int = 50,
-                  queue_cap: int | None = None) -> DataFrame:
+def frontier_step(edges: DataFrame, state: DataFrame, batch: int | None = 50) -> DataFrame:
+    """One step: the first ``batch`` queued nodes (None: all) are processed."""
     processed = state.filter(F.col("status") == PROCESSED).select("node").distinct()
     queue = state.filter(F.col("status") == QUEUED).select("node").distinct()
     known = state.select("node").distinct()                                     # G1
     candidates = queue.join(processed, "node", "left_anti")                     # G1
-    chosen = candidates.orderBy("node").limit(batch)                            # L4
-    nbrs = (edges.join(F.broadcast(chosen.withColumnRenamed("node", "src")), "src")
+    chosen = candidates if batch is None else candidates.orderBy("node").limit(batch)   # L4
+    nbrs = (edges.join(chosen.withColumnRenamed("node", "src"), "src")
             .select(F.col("dst").alias("node")).distinct())                     # G2
     discovered = nbrs.join(known, "node", "left_anti")
     done = processed.unionByName(chosen).distinct()                             # G3
     new_queue = queue.unionByName(discovered).distinct().join(done, "node", "left_anti")
-    if queue_cap is not None:
-        new_queue = new_queue.orderBy("node").limit(queue_cap)
     return (done.withColumn("status", F.lit(PROCESSED))
             .unionByName(new_queue.withColumn("status", F.lit(QUEUED))))
 
 
-def bfs(edges: DataFrame, seeds: DataFrame, steps: int, batch: int = 50,
+def bfs(edges: DataFrame, seeds: DataFrame, steps: int | None = None, batch: int | None = None,
         checkpoint: bool = True, node: str = "node") -> DataFrame:
-    """Up to ``steps`` frontier steps from ``seeds``; stops early when no
-    queued node is left.  The state is checkpointed (reliably, to the
+    """Frontier steps from ``seeds`` until no queued node is left (or
+    ``steps`` are done).  The state is checkpointed (reliably, to the
     session's checkpoint folder) after each step so lineage stays one step
     deep and a lost executor recomputes at most one step."""
     from playlens.session import checkpoint_root
@@ -49,7 +47,9 @@ def bfs(edges: DataFrame, seeds: DataFrame, steps: int, batch: int = 50,
     state = seed_state(seeds, node)
     if checkpoint:
         checkpoint_root(state.sparkSession)
-    for _ in range(steps):
+    done = 0
+    while steps is None or done < steps:
+        done += 1
         if state.filter(F.col("status") == QUEUED).isEmpty():
             break
         state = frontier_step(edges, state, batch)

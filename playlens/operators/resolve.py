@@ -116,15 +116,20 @@ def as_of_filter(df: DataFrame, version_col: str, as_of: str | None,
     """Keep loads up to ``as_of`` (plus the baseline); prunes ``dt=`` folders."""
     if as_of is None:
         return df
-    cond: Column = F.col(version_col) <= F.lit(as_of)
+    label = F.col(version_col).cast("string")
+    cond: Column = label <= F.lit(as_of)
     if baseline_labels:
-        cond = cond | F.col(version_col).isin(list(baseline_labels))
+        cond = cond | label.isin(list(baseline_labels))
     return df.filter(cond)
 
 
-def pages(df: DataFrame, order_by, page_size: int, max_pages: int) -> DataFrame:
-    """L3: the first ``max_pages`` pages of ``page_size`` rows under a total
-    order, each row tagged with its 1-based ``page``.
+def pages(df: DataFrame, order_by, page_size: int, max_pages: int | None = None) -> DataFrame:
+    """L3: pages of ``page_size`` rows under a total order, each row tagged with
+    its 1-based ``page``; all pages, or the first ``max_pages``.
+
+    All pages are numbered range by range: rows are dealt into sorted ranges
+    and written once, a range's rows are numbered in its own window, and the
+    ranges' sizes (one row each) give its offset.
 
     At most ``page_size * max_pages`` rows survive the ordered limit (a
     top-N per partition, then one bounded merge), so numbering them in one
@@ -132,6 +137,15 @@ def pages(df: DataFrame, order_by, page_size: int, max_pages: int) -> DataFrame:
     """
     from pyspark.sql import Window
 
+    if max_pages is None:
+        from playlens.session import materialize
+
+        ranged = materialize(df.repartitionByRange(*order_by).withColumn("_range", F.spark_partition_id()), "pages")
+        sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+        before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+        pos = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by)) + F.col("_before")
+        return (ranged.join(F.broadcast(before), "_range")  # one row per range
+                .withColumn("page", F.floor((pos - 1) / page_size).cast("int") + 1).drop("_range", "_before"))
     top = df.orderBy(*order_by).limit(page_size * max_pages)
     pos = F.row_number().over(Window.orderBy(*order_by))
     return top.withColumn("page", ((pos - 1) / page_size).cast("int") + 1)

@@ -45,8 +45,11 @@ def tag_frequency(rows: DataFrame) -> DataFrame:
     return rows.groupBy("tag").agg(F.count(F.lit(1)).alias("n_items"))
 
 
-def drop_frequent_tags(rows: DataFrame, max_tag_freq: int) -> DataFrame:
-    """Remove rows whose tag is carried by more than ``max_tag_freq`` items."""
+def drop_frequent_tags(rows: DataFrame, max_tag_freq: int | None) -> DataFrame:
+    """Remove rows whose tag is carried by more than ``max_tag_freq`` items
+    (None: no limit)."""
+    if max_tag_freq is None:
+        return rows
     frequent = tag_frequency(rows).filter(F.col("n_items") > max_tag_freq).select("tag")
     return rows.join(frequent, "tag", "left_anti")
 
@@ -65,7 +68,7 @@ def name_order(meta: DataFrame) -> DataFrame:
 
 def tag_similarity(items: DataFrame, id_col: str = "igdb_id", name_col: str = "igdb_name",
                    tag_cols: Sequence[str] = ("genre_names", "theme_names", "tag_names"),
-                   k: int = 10, max_tag_freq: int = 1500, size_basis: str = "all",
+                   k: int = 10, max_tag_freq: int | None = None, size_basis: str = "all",
                    partitions: int | None = None) -> DataFrame:
     """Top-``k`` neighbours per item: ``(id, rank, nbr_id, nbr_name, shared, score)``.
 
@@ -82,9 +85,7 @@ def tag_similarity(items: DataFrame, id_col: str = "igdb_id", name_col: str = "i
     checkpoint folder (an eager, small write) so all readers agree on it.  The probe side
     of the pair join is hash-partitioned by item into ``partitions`` (default
     ``spark.sql.shuffle.partitions``) so the pair fan-out runs in parallel
-    even when the catalogue is one small file and the tag side is broadcast;
-    the per-pair count then needs no further shuffle because its input is
-    already clustered by the first item.
+    even when the catalogue is one small file and the tag side is broadcast.
     """
     if size_basis not in ("all", "kept"):
         raise ValueError("size_basis must be 'all' or 'kept'")
@@ -154,7 +155,7 @@ def attach_neighbours(items: DataFrame, lists: DataFrame, id_col: str = "igdb_id
 
 def compute_similar_games(items: DataFrame, id_col: str = "igdb_id", name_col: str = "igdb_name",
                           tag_cols: Sequence[str] = ("genre_names", "theme_names", "tag_names"),
-                          k: int = 10, max_tag_freq: int = 1500, size_basis: str = "all") -> DataFrame:
+                          k: int = 10, max_tag_freq: int | None = None, size_basis: str = "all") -> DataFrame:
     """Whole O6: the catalogue with ``computed_similar_games`` attached."""
     top = tag_similarity(items, id_col, name_col, tag_cols, k, max_tag_freq, size_basis)
     return attach_neighbours(items, neighbour_lists(top), id_col)

@@ -51,10 +51,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version_col: str = "dt",
     gives plain text order, where ``'initial'`` beats every date.
     ``tie_breaks`` order rows within one load (e.g. ``updated_at`` desc, id).
     """
+    # a discovered partition column of dates alone is a number: labels are text
+    label = F.col(version_col).cast("string")
     order = []
     if baseline_labels:
-        order.append(F.when(F.col(version_col).isin(list(baseline_labels)), F.lit(0))
+        order.append(F.when(label.isin(list(baseline_labels)), F.lit(0))
                      .otherwise(F.lit(1)).desc())
-    order.append(F.col(version_col).desc())
+    order.append(label.desc())
     order.extend(_cols(tie_breaks))
     return top_k(df, list(keys), order, 1, rank_col=None)

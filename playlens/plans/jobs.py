@@ -44,13 +44,13 @@ def format_job(spark: SparkSession, raw_path: str, silver_root: str, dt: str, so
 
 
 def libraries_job(spark: SparkSession, library_dir: str, out_dir: str, checkpoint_dir: str,
-                  max_items: int = 500) -> int:
+                  max_items: int | None = None) -> int:
     """O3: drain new library files into the consolidated table."""
     return consolidate_libraries(spark, library_dir, out_dir, checkpoint_dir, max_items)
 
 
 def combine_job(spark: SparkSession, silver_a: str, silver_b: str, libraries: str, master_table: str,
-                interactions_path: str, max_items: int = 500, k: int = 10, max_tag_freq: int = 1500,
+                interactions_path: str, max_items: int | None = None, k: int = 10, max_tag_freq: int | None = None,
                 as_of: str | None = None) -> dict:
     """O4-O6 + K5/K6 + K4: master catalogue (upserted) and interactions."""
     a = as_of_filter(read_silver(spark, silver_a, CATALOGUE_A_SILVER_SCHEMA), "dt", as_of)

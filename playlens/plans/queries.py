@@ -67,10 +67,10 @@ def q_affinity(spark, d):
 
 
 @query("library_explode", f"""WITH {S.PR},
-n AS (SELECT user_id FROM pr GROUP BY user_id HAVING count(*) BETWEEN 1 AND {R.LIBRARY_CAP})
+n AS (SELECT user_id FROM pr GROUP BY user_id HAVING count(*) >= 1)
 SELECT pr.user_id, pr.item_id, pr.playtime_forever FROM pr JOIN n USING (user_id)""")
 def q_library_explode(spark, d):
-    rows = eng.capped_library_rows(R.purchase_rows(spark, d), "user_id", max_items=R.LIBRARY_CAP)
+    rows = eng.capped_library_rows(R.purchase_rows(spark, d), "user_id")
     return rows.select("user_id", "item_id", "playtime_forever")
 
 
@@ -78,10 +78,10 @@ def q_library_explode(spark, d):
 SELECT user_id, count(*) AS n_items,
        string_agg(item_id::VARCHAR, ',' ORDER BY item_id) AS items,
        sum(playtime_forever) AS library_playtime
-FROM pr GROUP BY user_id HAVING count(*) BETWEEN 1 AND {R.LIBRARY_CAP}""")
+FROM pr GROUP BY user_id""")
 def q_library_envelope(spark, d):
     env = eng.library_envelope(R.purchase_rows(spark, d), "user_id",
-                               ["item_id", "playtime_forever"], "item_id", max_items=R.LIBRARY_CAP)
+                               ["item_id", "playtime_forever"], "item_id")
     return env.select(
         "user_id", F.size("games").cast("long").alias("n_items"),
         F.array_join(F.transform("games", lambda g: g["item_id"].cast("string")), ",").alias("items"),
@@ -182,8 +182,9 @@ def _similarity(cap, basis):
     return run
 
 
-query("tag_similarity_all", S.similarity_sql(R.TAG_CAP, R.NEIGHBOURS, "all"))(_similarity(R.TAG_CAP, "all"))
-query("tag_similarity_kept", S.similarity_sql(R.TAG_CAP, R.NEIGHBOURS, "kept"))(_similarity(R.TAG_CAP, "kept"))
+query("tag_similarity_all", S.similarity_sql(None, R.NEIGHBOURS, "all"))(_similarity(None, "all"))
+query("tag_similarity_kept", S.similarity_sql(None, R.NEIGHBOURS, "kept"))(_similarity(None, "kept"))
+# the reference's own cap on a tag's frequency, for parity
 query("tag_similarity_wide", S.similarity_sql(R.TAG_CAP_WIDE, R.NEIGHBOURS, "all"))(
     _similarity(R.TAG_CAP_WIDE, "all"))
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from playlens.functions.scalar import epoch_ts, safe_cast, safe_date, safe_ts
+from playlens.session import materialize
 from playlens.operators import cohorts as coh
 from playlens.operators import features as feat
 from playlens.operators import frontier as fr
@@ -312,9 +313,14 @@ def q_frontier_step(spark, d):
     return fr.frontier_step(_edges(spark, d), fr.seed_state(_seeds(spark, d)), batch=50)
 
 
-@query("bfs", _bfs_sql(2, 50))
+@query("bfs", """WITH RECURSIVE e AS (SELECT DISTINCT 'c' || o.o_custkey AS src, 'p' || l.l_partkey AS dst
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+edges AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
+reach AS (SELECT 'c' || min(o_custkey) AS node FROM orders UNION SELECT dst FROM edges JOIN reach ON src = node)
+SELECT node, 'processed' AS status FROM reach""")
 def q_bfs(spark, d):
-    return fr.bfs(_edges(spark, d), _seeds(spark, d), steps=2, batch=50)
+    """G4 to the end: edges written once, steps until the queue is empty."""
+    return fr.bfs(materialize(_edges(spark, d), "edges"), _seeds(spark, d))
 
 
 # --------------------------------------------------------------- streaming loads
@@ -368,7 +374,7 @@ def q_report_top_items(spark, d):
     return rep.report_top_items(_recommend(spark, d), "cohort_id", "item_id", 5)
 
 
-@query("report_neighbour_overlap", S.similarity_sql(R.TAG_CAP, R.NEIGHBOURS, "all", f"""SELECT p.p_partkey AS item_id,
+@query("report_neighbour_overlap", S.similarity_sql(None, R.NEIGHBOURS, "all", f"""SELECT p.p_partkey AS item_id,
   1::BIGINT AS n_editorial, count(r.id) AS n_computed,
   (CASE WHEN count(r.id) FILTER (WHERE r.nbr_name = p.p_name) > 0 THEN 1 ELSE 0 END)::BIGINT AS n_shared
 FROM part p LEFT JOIN (SELECT * FROM ranked WHERE rank <= {R.NEIGHBOURS}) r ON r.id = p.p_partkey
@@ -376,7 +382,7 @@ GROUP BY p.p_partkey"""))
 def q_report_neighbour_overlap(spark, d):
     items = R.items(spark, d).withColumn("similar_game_names", F.array("item_name"))
     cat = sim.compute_similar_games(items, "item_id", "item_name", ["genre_names", "theme_names", "tag_names"],
-                                    k=R.NEIGHBOURS, max_tag_freq=R.TAG_CAP)
+                                    k=R.NEIGHBOURS)
     out = rep.report_neighbour_overlap(cat, "item_id")
     return out.select("item_id", *[F.col(c).cast("long").alias(c) for c in ("n_editorial", "n_computed",
                                                                                "n_shared")])
@@ -444,12 +450,12 @@ def q_recent_page(spark, d):
 
 
 @query("consolidate_libraries", f"""WITH {S.PR},
-n AS (SELECT user_id FROM pr GROUP BY user_id HAVING count(*) BETWEEN 1 AND {R.LIBRARY_CAP})
+n AS (SELECT user_id FROM pr GROUP BY user_id HAVING count(*) >= 1)
 SELECT pr.user_id::VARCHAR AS steam_id, pr.item_id AS appid, pr.playtime_forever::BIGINT AS playtime_forever
 FROM pr JOIN n USING (user_id)""")
 def q_consolidate_libraries(spark, d):
     """O3 end to end: per-user library JSON (written by Spark from the
-    tables, lists bounded at 500) drained by the file stream with the
+    tables) drained by the file stream with the
     library size filter, then read back and exploded."""
     from playlens.operators.engagement import explode_libraries, library_envelope
     from playlens.streaming.loads import consolidate_libraries
@@ -459,21 +465,21 @@ def q_consolidate_libraries(spark, d):
         F.col("item_name").alias("name"), F.col("playtime_forever").cast("long").alias("playtime_forever"),
         F.col("playtime_2weeks").cast("long").alias("playtime_2weeks"))
     env = library_envelope(rows, "steam_id", ["appid", "name", "playtime_forever", "playtime_2weeks"], "appid",
-                           max_items=500, captured_at=F.lit("2024-01-01T00:00:00"))
+                           captured_at=F.lit("2024-01-01T00:00:00"))
     raw = scratch_path(spark, "raw-libraries")
     env.select("steam_id", F.col("captured_at").alias("scraped_at"), "games").write.json(raw)
     out, ck = scratch_path(spark, "libraries"), scratch_path(spark, "libraries-ckpt")
-    consolidate_libraries(spark, raw, out, ck, max_items=R.LIBRARY_CAP)
+    consolidate_libraries(spark, raw, out, ck)
     libs = spark.read.parquet(out)
     return explode_libraries(libs, fields={"appid": "appid", "playtime_forever": "playtime_forever"})
 
 
 @query("catalogue_pages", """SELECT p_partkey, p_retailprice,
        ((row_number() OVER (ORDER BY p_retailprice DESC, p_partkey ASC) - 1) // 40 + 1)::INTEGER AS page
-FROM part ORDER BY p_retailprice DESC, p_partkey ASC LIMIT 12000""")
+FROM part""")
 def q_catalogue_pages(spark, d):
-    """L3: catalogue by price, 40 per page, at most 300 pages."""
+    """L3: the whole catalogue by price, 40 per page."""
     from playlens.operators.resolve import pages
 
     p = R.table(spark, d, "part").select("p_partkey", "p_retailprice")
-    return pages(p, [F.col("p_retailprice").desc(), F.col("p_partkey").asc()], page_size=40, max_pages=300)
+    return pages(p, [F.col("p_retailprice").desc(), F.col("p_partkey").asc()], page_size=40)

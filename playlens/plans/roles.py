@@ -23,7 +23,6 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 TAG_CAP = 300            # item-tag frequency cap for tag similarity
 TAG_CAP_WIDE = 1500      # the reference's own cap
 NEIGHBOURS = 10
-LIBRARY_CAP = 50
 MIN_DF = 5
 MIN_USERS = 100
 MIN_SHARE = 0.15

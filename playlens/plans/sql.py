@@ -107,12 +107,13 @@ ITEM_TAGS = """tags AS (
 freq AS (SELECT tag, count(*) AS n_items FROM tags GROUP BY tag)"""
 
 
-def similarity_sql(cap: int, k: int, basis: str, final_select: str | None = None) -> str:
+def similarity_sql(cap: int | None, k: int, basis: str, final_select: str | None = None) -> str:
     """Top-k tag neighbours; ``final_select`` replaces the last SELECT (it can
     read ``ranked``: id, nbr_id, nbr_name, shared, score, rank)."""
     sizes_from = "tags" if basis == "all" else "kept0"
+    within = "true" if cap is None else f"f.n_items <= {cap}"
     return f"""WITH {ITEM_TAGS},
-kept0 AS (SELECT t.* FROM tags t JOIN freq f USING (tag) WHERE f.n_items <= {cap} AND t.tag IS NOT NULL),
+kept0 AS (SELECT t.* FROM tags t JOIN freq f USING (tag) WHERE {within} AND t.tag IS NOT NULL),
 sizes AS (SELECT id, count(*) AS n_tags FROM {sizes_from} GROUP BY id),
 kept AS (SELECT k.id, k.name, k.tag, s.n_tags FROM kept0 k JOIN sizes s USING (id)),
 pairs AS (SELECT a.id, b.id AS nbr_id, b.name AS nbr_name, a.n_tags AS a_n, b.n_tags AS b_n,

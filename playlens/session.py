@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -57,13 +58,16 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (what the cluster names); only when it
-    is unset, as in local tests, a private folder is created and registered.
+    Read from ``spark.checkpoint.dir`` (what the cluster names).  Only a local
+    session, as in tests, may leave it unset and gets a private folder; on a
+    cluster, where executors would write to their own disks, that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="playlens-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", root)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_raw_json(spark: SparkSession, path: str, schema: str, multiline: bool = True) -> DataFrame:
@@ -32,12 +33,16 @@ def stream_raw_json(spark: SparkSession, directory: str, schema: str,
 
 def read_silver(spark: SparkSession, root: str, schema: str | None = None) -> DataFrame:
     """Partitioned Parquet (``dt=`` discovered).  With a schema the
-    partition column's type is fixed; without, it is inferred.  A streaming
+    partition column's type is fixed; without, it is inferred, and ``dt`` is
+    read as text also where all loads are dated.  A streaming
     sink's folder is read through its ``_spark_metadata`` log."""
     r = spark.read
     if schema:
         r = r.schema(schema)
-    return r.parquet(root)
+    df = r.parquet(root)
+    if "dt" in df.columns and df.schema["dt"].dataType.simpleString() != "string":
+        df = df.withColumn("dt", F.col("dt").cast("string"))
+    return df
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:

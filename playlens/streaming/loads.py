@@ -38,7 +38,7 @@ def run_available_now(sdf: DataFrame, out_dir: str, checkpoint_dir: str,
 
 
 def consolidate_libraries(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str,
-                          max_items: int = 500, schema: str = LIBRARY_SCHEMA) -> int:
+                          max_items: int | None = None, schema: str = LIBRARY_SCHEMA) -> int:
     """O3: raw library files -> typed, valid libraries (stateless stream)."""
     raw = stream_raw_json(spark, source_dir, schema)
     shaped = raw.select("steam_id", safe_ts("scraped_at").alias("scraped_at"), "games")

@@ -15,7 +15,8 @@ def _games(n):
 def test_valid_libraries_bounds(spark):
     df = spark.createDataFrame([(None, _games(1)), ("nulllist", None), ("zero", []), ("one", _games(1)),
                                 ("full", _games(500)), ("over", _games(501))], LIB)
-    assert rows(eng.valid_libraries(df), "steam_id") == [("full",), ("one",)]
+    assert rows(eng.valid_libraries(df, max_items=500), "steam_id") == [("full",), ("one",)]
+    assert rows(eng.valid_libraries(df), "steam_id") == [("full",), ("one",), ("over",)]   # no bound by default
 
 
 def test_capped_rows_match_list_filter(spark):

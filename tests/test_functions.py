@@ -1,3 +1,4 @@
+import pytest
 import math
 
 from pyspark.sql import functions as F
@@ -119,6 +120,8 @@ def test_checkpoint_root_reads_session_then_falls_back():
             self.value = value
 
     class Ctx:
+        master = "local[4]"
+
         def __init__(self):
             self.dir = None
 
@@ -138,3 +141,7 @@ def test_checkpoint_root_reads_session_then_falls_back():
     local = Session(None)
     root = checkpoint_root(local)                                         # unset: a private folder (tests)
     assert local.conf.value == root and local.sparkContext.dir == root
+    cluster = Session(None)
+    cluster.sparkContext.master = "local-cluster[3,2,1024]"               # executors of their own: never a private folder
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(cluster)

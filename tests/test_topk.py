@@ -43,3 +43,30 @@ def test_pages_numbering_and_cap(spark):
     assert len(got) == 30 and got[0] == (1,) and got[-1] == (3,)
     second = rows(page(df, order, limit=10, offset=10), "id")
     assert second == rows(out.filter("page = 2"), "id")
+
+
+def test_dated_loads_alone_read_as_text(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from playlens.operators.resolve import as_of_filter
+    from playlens.operators.topk import latest_per_key
+    from playlens.sources.readers import read_silver
+
+    root = str(tmp_path / "silver")
+    rows = [(1, "old", "20240101"), (1, "new", "20240102"), (2, "only", "20240101")]
+    spark.createDataFrame(rows, "id long, v string, dt string").write.partitionBy("dt").parquet(root)
+    df = read_silver(spark, root)
+    assert df.schema["dt"].dataType.simpleString() == "string"
+    assert sorted(r["v"] for r in latest_per_key(df, ["id"]).collect()) == ["new", "only"]
+    inferred = spark.read.parquet(root)  # dt is a number here
+    assert sorted(r["v"] for r in latest_per_key(inferred, ["id"]).collect()) == ["new", "only"]
+    assert sorted(r["v"] for r in as_of_filter(inferred, "dt", "20240101").select(F.col("v")).collect()) == ["old", "only"]
+
+
+def test_pages_reach_the_end(spark):
+    from pyspark.sql import functions as F
+
+    from playlens.operators.resolve import pages
+
+    got = pages(spark.range(205), [F.col("id").desc()], page_size=10).collect()
+    assert sorted((r["id"], r["page"]) for r in got) == [(i, (204 - i) // 10 + 1) for i in range(205)]
