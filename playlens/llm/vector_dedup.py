@@ -138,7 +138,7 @@ def vector_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     member = v.where("ok").join(reps, "vec").select("vec_id", "rep")
 
     links = None
-    for (dim,) in reps.select(F.size("vec")).distinct().limit(1000).collect():
+    for (dim,) in reps.select(F.size("vec")).distinct().collect():
         of = _forest_links(reps.where(F.size("vec") == dim), int(dim), least, trees)
         links = of if links is None else links.unionByName(of)
     if links is None:
