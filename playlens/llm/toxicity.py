@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -37,6 +38,8 @@ WINDOW = 56
 ORDINARY_DICT, TOXIC_DICT = 1280, 1024
 THRESHOLDS = (2, 3, 4, 5, 6, 8)
 DECISION = 0.7
+#: Marks of word neighbourhoods met in the training documents.
+SEEN = 1 << 25
 _NO_WORD = re.compile(rb"[\x00-\x60\x7b-\x7f]+")
 
 
@@ -62,6 +65,18 @@ def _starts(word: bytes) -> list[bytes]:
     return [(b" " + word)[:n] for n in (5, 6, 7)] if len(word) >= 4 else []
 
 
+def _fresh(words: list[bytes], seen: bytearray) -> set[bytes]:
+    """Words that stand between neighbours they did not stand between before,
+    so that near copies of a document count as one."""
+    out = set()
+    for before, word, after in zip([b"", *words], words, [*words[1:], b""]):
+        at = zlib.crc32(before + b" " + word + b" " + after) % len(seen)
+        if not seen[at]:
+            seen[at] = 1
+            out.add(word)
+    return out
+
+
 def _train(samples: list[bytes], size: int) -> bytes:
     """A zstandard dictionary's content; too few samples serve as they are."""
     import zstandard
@@ -156,8 +171,9 @@ def fit(examples: list[tuple[str | None, int]]) -> Model:
     words = [(_NO_WORD.sub(b" ", (t or "").lower().encode("utf-8", "surrogatepass")).split(), y) for t, y in train]
     df: tuple[Counter, Counter] = (Counter(), Counter())
     count = [sum(1 for _, y in train if y == k) for k in (0, 1)]
+    seen = bytearray(SEEN)
     for ws, y in words:
-        df[y].update({s for w in set(ws) for s in _starts(w)})
+        df[y].update({s for w in _fresh(ws, seen) for s in _starts(w)})
 
     def telling(word: bytes) -> bool:
         """Whether some beginning of the word is ten times as frequent in toxic documents."""
