@@ -43,14 +43,21 @@ SEEN = 1 << 25
 _NO_WORD = re.compile(rb"[\x00-\x60\x7b-\x7f]+")
 
 
+def _written(word: bytes) -> bytes:
+    """The word with its first four bytes written twice: a stem in common then
+    saves more than the few bytes that naming a match costs."""
+    return word[:4] + word if len(word) >= 4 else word
+
+
 def windows(text: str | None) -> list[bytes]:
     """Windows of whole words; words beyond a window's length are cut up."""
     low = _NO_WORD.sub(b" ", (text or "").lower().encode("utf-8", "surrogatepass"))
     out, cur = [], b" "
     for w in low.split():
-        while len(w) > WINDOW - 2:
-            out.append(b" " + w[:WINDOW - 2] + b" ")
-            w = w[WINDOW - 2:]
+        while len(w) > WINDOW - 6:
+            out.append(b" " + _written(w[:WINDOW - 6]) + b" ")
+            w = w[WINDOW - 6:]
+        w = _written(w)
         if len(cur) + len(w) + 1 > WINDOW:
             out.append(cur)
             cur = b" "
@@ -180,8 +187,8 @@ def fit(examples: list[tuple[str | None, int]]) -> Model:
         return any(df[1][s] >= max(3, 0.01 * count[1]) and df[1][s] * (count[0] + 1) > 10 * (df[0][s] + 0.5) * count[1]
                    for s in _starts(word))
 
-    toxic = [b" " + b" ".join(w for w in ws if telling(w)) + b" " for ws, y in words if y]
-    ordinary = [b" " + b" ".join(ws) + b" " for ws, y in words if not y]
+    toxic = [b" " + b" ".join(_written(w) for w in ws if telling(w)) + b" " for ws, y in words if y]
+    ordinary = [b" " + b" ".join(map(_written, ws)) + b" " for ws, y in words if not y]
     model = Model(_train(ordinary, ORDINARY_DICT), _train(toxic, TOXIC_DICT))
     rest = rows[share:] or rows
     model.calibrate(np.array([model.features(t) for t, _ in rest]).reshape(len(rest), -1) if rest
