@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens.functions.scalar import cohort_item_score
@@ -70,14 +70,20 @@ def cohort_scores(interactions: DataFrame, labelled: DataFrame, user: str = "ste
     aggregation is all-numeric (hash aggregate) and names are attached
     afterwards (``with_names``).  Keeps ``cohort_score > min_score`` and items
     that are not ubiquitous.
+
+    A user is in one cohort at most, so an item's users and score are the sums
+    over its cohorts (users without a cohort form one more): interactions are
+    aggregated once, and the window holds one row per cohort of an item.
     """
     inter = interactions.select(user, item, score)
-    joined = inter.join(labelled.select(user, cohort), user)
-    per_cohort = joined.groupBy(cohort, item).agg(F.sum(score).alias("cohort_score"))
-    pop = not_ubiquitous(item_popularity(inter, user, item, score),
-                         total_users(inter, user), max_share)
-    out = (per_cohort.join(pop, item)
-           .filter(F.col("cohort_score") > min_score)
+    joined = inter.join(labelled.select(user, cohort), user, "left")
+    per_pair = joined.groupBy(user, cohort, item).agg(F.sum(score).alias("_s"))
+    per_cohort = per_pair.groupBy(cohort, item).agg(F.sum("_s").alias("cohort_score"), F.count(F.lit(1)).alias("_u"))
+    per_item = Window.partitionBy(item)
+    pop = (per_cohort.withColumn("user_count", F.sum("_u").over(per_item))
+           .withColumn("global_score", F.sum("cohort_score").over(per_item)).drop("_u"))
+    out = (not_ubiquitous(pop, total_users(inter, user), max_share)
+           .filter(F.col(cohort).isNotNull() & (F.col("cohort_score") > min_score))
            .withColumn("game_cluster_score",
                        cohort_item_score(F.col("cohort_score"), F.col("global_score"), exponent)))
     if with_names:
@@ -121,7 +127,9 @@ def recommend(interactions: DataFrame, labelled: DataFrame, owned: DataFrame | N
     bound = n_cohorts * per_cohort
     top = attach_item_names(top, interactions, item, name, bound)
     cand = labelled.select(user, cohort, "cohort_name").join(broadcast_if_bounded(top, bound), cohort)
-    own = (owned if owned is not None else interactions).select(user, item)
+    # only ownership of candidate items can exclude anything
+    own = ((owned if owned is not None else interactions).select(user, item)
+           .join(broadcast_if_bounded(top.select(item).distinct(), bound), item, "left_semi"))
     fresh = cand.join(own, [user, item], "left_anti")
     return top_k(fresh, user, [F.col("game_cluster_score").desc_nulls_last(), F.col(item).asc()],
                  per_user, rank_col="reco_rank")

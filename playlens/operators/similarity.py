@@ -2,30 +2,35 @@
 
 Plan shape (kept deliberately):
 
-1. explode each item's distinct tag set once (``id, name, n_tags, tag``);
-2. count items per tag (map-side combined) and drop tags above
-   ``max_tag_freq`` with a left-anti join;
-3. self-join on ``tag`` with ``a.id < b.id``: every unordered pair is built
-   once per shared tag (the probe side hash-partitioned by item).  Because no kept tag has more than ``max_tag_freq``
-   items, no join key produces more than ``max_tag_freq**2 / 2`` rows and
-   the pair count is at most ``max_tag_freq / 2`` times the tag rows:
-   linear in the data;
-4. count shared tags per pair (partial aggregation before the shuffle),
-   score, mirror to both directions and keep the top-k per item with
-   ``row_number`` (``WindowGroupLimit`` runs before the exchange).
+1. items with equal tag sets are one set: pairs are built between sets, and a
+   set carries its first ``k + 1`` items only;
+2. each set is exploded once to ``(set, tag)`` rows; a tag's sets are dealt
+   into blocks of about ``BLOCK``, and blocks are joined with the tag's other
+   sets, so no task owns a whole tag, however frequent;
+3. shared tags are counted per pair of sets (``a < b``, mirrored by one
+   explode), scored, and the best ``k + 1`` sets kept per set with
+   ``row_number`` (``WindowGroupLimit`` runs before the exchange);
+4. the sets' first items give each set its best ``k + 1`` items, and every
+   item takes that list without itself.
+
+Only ``k + 1`` sets and items are needed: what ranks behind ``k + 1`` sets has
+an item of each of them before it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens.functions.scalar import jaccard, unify_tags
 from playlens.operators.topk import top_k
 from playlens.session import materialize
 
+#: Sets of a tag that one block of the pair join holds, about.
+BLOCK = 1000
+
 
 def item_tag_rows(items: DataFrame, id_col: str, name_col: str,
                   tag_cols: Sequence[str]) -> DataFrame:
@@ -79,50 +84,66 @@ def tag_similarity(items: DataFrame, id_col: str = "igdb_id", name_col: str = "i
     items with the same name stay distinct.  Order: score desc, neighbour
     name asc (NULL first), neighbour id asc.
 
-    Only numbers travel with the pairs (ids, set sizes, a name-order key);
-    names are joined to the k survivors per item at the end.  The per-item
-    table carrying the order key (one row per item) is written once to the
-    checkpoint folder (an eager, small write) so all readers agree on it.  The probe side
-    of the pair join is hash-partitioned by item into ``partitions`` (default
-    ``spark.sql.shuffle.partitions``) so the pair fan-out runs in parallel
-    even when the catalogue is one small file and the tag side is broadcast.
+    Only numbers travel with the pairs (ids, set sizes, a name-order key); names
+    are carried by the first items of each set.  The per-item table with the
+    order key is written once to the checkpoint folder, so all readers agree
+    on the keys.  ``partitions`` (default ``spark.sql.shuffle.partitions``) is
+    the width of the pair join, also where one side is broadcast.
     """
     if size_basis not in ("all", "kept"):
         raise ValueError("size_basis must be 'all' or 'kept'")
     spark = items.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = item_tag_rows(items, id_col, name_col, tag_cols)
-    kept = drop_frequent_tags(rows, max_tag_freq).filter(F.col("tag").isNotNull()).select("id", "tag")
-    meta = rows.select("id", "name", "n_tags").distinct()
+    kept = drop_frequent_tags(rows, max_tag_freq).filter(F.col("tag").isNotNull())
+    # an item's own tags: a list no longer than the item's record
+    per_item = kept.groupBy("id", "name", "n_tags").agg(F.sort_array(F.collect_set("tag")).alias("tags"))
     if size_basis == "kept":
-        sizes = kept.groupBy("id").agg(F.count(F.lit(1)).alias("n_tags"))
-        meta = meta.drop("n_tags").join(sizes, "id")
-    order_keys = name_order(meta)
-    meta = meta.join(order_keys, meta["name"].eqNullSafe(order_keys["name"])).drop(order_keys["name"])
-    # written once: the order key comes from a sort, and every consumer (both
-    # sides of the self-join, the final name lookup) must see the same keys,
-    # also when a lost executor forces a recomputation
-    meta = materialize(meta, "item-order")
-    kept = kept.join(meta.select("id", "n_tags", "name_ord"), "id")
-
-    a = kept.select("tag", F.col("id").alias("a_id"), F.col("n_tags").alias("a_n"),
-                    F.col("name_ord").alias("a_o")).repartition(n_parts, "a_id")
-    b = kept.select(F.col("tag").alias("b_tag"), F.col("id").alias("b_id"),
-                    F.col("n_tags").alias("b_n"), F.col("name_ord").alias("b_o"))
-    pairs = a.join(b, (a["tag"] == b["b_tag"]) & (a["a_id"] < b["b_id"]))
-    # size and name key are functions of the id: grouping by them as well
+        per_item = per_item.withColumn("n_tags", F.size("tags"))
+    order_keys = name_order(per_item)
+    members = materialize(per_item.join(order_keys, per_item["name"].eqNullSafe(order_keys["name"]))
+                          .drop(order_keys["name"]), "item-order")
+
+    in_set = ["tags", "n_tags"]
+    order = [F.col("name_ord").asc(), F.col("id").asc()]
+    heads = top_k(members, in_set, order, k + 1, rank_col="pos")
+    heads = materialize(heads.withColumn("sid", F.first("id").over(Window.partitionBy(*in_set).orderBy(*order))), "sets")
+    firsts = heads.filter("pos = 1")
+
+    tagged = firsts.select("sid", F.col("n_tags").alias("n"), F.col("name_ord").alias("o"), F.explode("tags").alias("tag"))
+    blocks = tagged.groupBy("tag").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = tagged.join(blocks, "tag")
+    a = (dealt.select("tag", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int").alias("blk"),
+                      F.col("sid").alias("a_id"), F.col("n").alias("a_n"), F.col("o").alias("a_o"))
+         .repartition(n_parts, "tag", "blk"))
+    b = dealt.select("tag", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("blk"),
+                     F.col("sid").alias("b_id"), F.col("n").alias("b_n"), F.col("o").alias("b_o"))
+    pairs = a.join(b, ["tag", "blk"]).filter(F.col("a_id") < F.col("b_id"))
+    # size and name key are functions of the set: grouping by them as well
     # changes nothing in cardinality and keeps the aggregate all-numeric
-    shared = (pairs.groupBy("a_id", "b_id", "a_n", "b_n", "a_o", "b_o")
-              .agg(F.count(F.lit(1)).alias("shared"))
+    shared = (pairs.groupBy("a_id", "b_id", "a_n", "b_n", "a_o", "b_o").agg(F.count(F.lit(1)).alias("shared"))
               .withColumn("score", jaccard(F.col("shared"), F.col("a_n"), F.col("b_n"))))
-    both = shared.select(F.col("a_id").alias("id"), F.col("b_id").alias("nbr_id"),
-                         F.col("b_o").alias("nbr_o"), "shared", "score").unionByName(
-        shared.select(F.col("b_id").alias("id"), F.col("a_id").alias("nbr_id"),
-                      F.col("a_o").alias("nbr_o"), "shared", "score"))
-    order = [F.col("score").desc_nulls_last(), F.col("nbr_o").asc(), F.col("nbr_id").asc()]
-    top = top_k(both, "id", order, k, rank_col="rank")
-    names = meta.select(F.col("id").alias("nbr_id"), F.col("name").alias("nbr_name"))
-    return top.join(names, "nbr_id").select("id", "rank", "nbr_id", "nbr_name", "shared", "score")
+    both = shared.select(F.explode(F.array(
+        F.struct(F.col("a_id").alias("sid"), F.col("b_id").alias("nbr_sid"), F.col("b_o").alias("nbr_o"), "shared", "score"),
+        F.struct(F.col("b_id").alias("sid"), F.col("a_id").alias("nbr_sid"), F.col("a_o").alias("nbr_o"), "shared", "score"),
+    )).alias("p")).select("p.*")
+    n_own = F.size("tags").cast("long")
+    own = firsts.select("sid", F.col("sid").alias("nbr_sid"), F.col("name_ord").alias("nbr_o"), n_own.alias("shared"),
+                        jaccard(n_own, F.col("n_tags"), F.col("n_tags")).alias("score"))
+    best = [F.col("score").desc_nulls_last(), F.col("nbr_o").asc()]
+    near = top_k(both.unionByName(own), "sid", [*best, F.col("nbr_sid").asc()], k + 1, rank_col=None)
+
+    reps = heads.select(F.col("sid").alias("nbr_sid"), F.col("id").alias("nbr_id"), F.col("name").alias("nbr_name"),
+                        F.col("name_ord").alias("item_o"))
+    cand = near.drop("nbr_o").join(reps, "nbr_sid").withColumnRenamed("item_o", "nbr_o")
+    listed = top_k(cand, "sid", [*best, F.col("nbr_id").asc()], k + 1, rank_col="pos")
+    lists = listed.groupBy("sid").agg(F.sort_array(F.collect_list(
+        F.struct("pos", "nbr_id", "nbr_name", "shared", "score"))).alias("l"))   # k + 1 entries at most
+    of_set = lists.join(firsts.select("sid", *in_set), "sid").drop("sid")
+    others = F.filter("l", lambda x: x["nbr_id"] != F.col("id"))
+    return (members.join(of_set, in_set)
+            .select("id", F.posexplode(F.slice(others, 1, k)).alias("at", "x"))
+            .select("id", (F.col("at") + 1).alias("rank"), "x.nbr_id", "x.nbr_name", "x.shared", "x.score"))
 
 
 def neighbour_lists(top: DataFrame) -> DataFrame:

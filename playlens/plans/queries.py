@@ -189,6 +189,18 @@ query("tag_similarity_wide", S.similarity_sql(R.TAG_CAP_WIDE, R.NEIGHBOURS, "all
     _similarity(R.TAG_CAP_WIDE, "all"))
 
 
+@query("neighbour_lists", S.similarity_sql(None, R.NEIGHBOURS, "all", f"""SELECT id,
+  string_agg(nbr_id::VARCHAR, ',' ORDER BY rank) AS nbr_ids, string_agg(nbr_name, '|' ORDER BY rank) AS nbr_names
+FROM ranked WHERE rank <= {R.NEIGHBOURS} GROUP BY id"""))
+def q_neighbour_lists(spark, d):
+    """The ordered lists."""
+    top = sim.tag_similarity(R.items(spark, d), "item_id", "item_name", ["genre_names", "theme_names", "tag_names"],
+                             k=R.NEIGHBOURS)
+    return sim.neighbour_lists(top).select(
+        "id", F.array_join(F.transform("nbr_ids", lambda x: x.cast("string")), ",").alias("nbr_ids"),
+        F.array_join("nbr_names", "|").alias("nbr_names"))
+
+
 # --------------------------------------------------------------- cohorts
 
 def _inter(spark, d):
@@ -239,7 +251,8 @@ def _labelled(spark, d, inter, materialized: bool = False, cohorts=None):
     if cohorts is None:
         cohorts = materialize(R.given_cohorts(spark, d, inter), "cohorts")   # read four times below
     lab = coh.cohort_profile(_user_tags(spark, d, inter), cohorts,
-                             "user_id", "cohort_id", min_users=R.MIN_USERS, min_share=R.MIN_SHARE)
+                             "user_id", "cohort_id", n_cohorts=R.n_given_cohorts(spark, d),
+                             min_users=R.MIN_USERS, min_share=R.MIN_SHARE)
     return materialize(lab, "labelled") if materialized else lab
 
 
@@ -262,6 +275,16 @@ def q_not_ubiquitous(spark, d):
     return pop.select("item_id", "user_count", r6("global_score").alias("global_score"))
 
 
+@query("not_ubiquitous_tight", f"""WITH {S.INTER},
+pop AS (SELECT item_id, count(DISTINCT user_id) AS user_count FROM inter GROUP BY item_id)
+SELECT item_id, user_count FROM pop WHERE user_count < 0.02 * (SELECT count(DISTINCT user_id) FROM inter)""")
+def q_not_ubiquitous_tight(spark, d):
+    """F10 with a share that bites on these tables."""
+    inter = _inter(spark, d)
+    return rec.not_ubiquitous(rec.item_popularity(inter, "user_id", "item_id"), rec.total_users(inter, "user_id"),
+                              0.02).select("item_id", "user_count")
+
+
 _SCORE_COLS = ["cohort_id", "item_id", "item_name"]
 
 
@@ -312,6 +335,26 @@ def q_recommend(spark, d):
                                        "item_name", r6("game_cluster_score").alias("game_cluster_score"))
 
 
+@query("recommendation_scores", "WITH " + S.reco_sql(R.MIN_USERS, R.MIN_SHARE, R.MIN_SCORE, R.MAX_SHARE, R.PER_COHORT,
+                                           R.PER_USER) + """
+SELECT user_id, reco_rank::INTEGER - 1 AS place, item_id AS recommended_id, item_name AS recommended_game,
+       abs(round(game_cluster_score, 2) - game_cluster_score) <= 0.005 + 1e-9 AS rounded
+FROM ranked""")
+def q_recommendation_scores(spark, d):
+    """The parallel lists, read back place by place; scores are
+    rounded to two decimals (checked against the ranked rows, not by digits,
+    where sums in another order may fall on the other side of a half)."""
+    ranked = _recommend(spark, d)
+    packed = rec.pack_recommendations(ranked, "user_id", "item_id", "cohort_id")
+    flat = packed.select("user_id", F.posexplode(F.arrays_zip(
+        F.col("recommended_ids").alias("i"), F.col("recommended_games").alias("g"),
+        F.col("recommendation_scores").alias("s"))).alias("place", "x"))
+    full = ranked.select(F.col("user_id").alias("u"), F.col("item_id").alias("it"), "game_cluster_score")
+    return flat.join(full, (F.col("user_id") == F.col("u")) & (F.col("x.i") == F.col("it"))).select(
+        "user_id", "place", F.col("x.i").alias("recommended_id"), F.col("x.g").alias("recommended_game"),
+        (F.abs(F.col("x.s") - F.col("game_cluster_score")) <= 0.005 + 1e-9).alias("rounded"))
+
+
 @query("recommend_packed", "WITH " + S.reco_sql(R.MIN_USERS, R.MIN_SHARE, R.MIN_SCORE, R.MAX_SHARE, R.PER_COHORT,
                                       R.PER_USER) + """
 SELECT user_id, cohort_id, cohort_name,

@@ -1,8 +1,6 @@
 """Shared pieces of the DuckDB oracle SQL (independent formulations of the
 same roles as ``roles.py``: plain joins, GROUP BY and window functions)."""
 
-from playlens.operators.cohorts import STOP_PATTERN, STOP_TAGS
-
 PR = """pr AS (
   SELECT o.o_custkey AS user_id, l.l_partkey AS item_id,
          sum(l.l_quantity) AS playtime_forever,
@@ -37,8 +35,12 @@ COHORTS = USER_TAGS + """,
 coh AS (SELECT u.user_id, c.c_mktsegment AS cohort_id
         FROM (SELECT DISTINCT user_id FROM inter) u JOIN customer c ON u.user_id = c.c_custkey)"""
 
-_STOP = ", ".join(f"'{t}'" for t in STOP_TAGS)
-_PATTERN = STOP_PATTERN.replace("(?i)", "")
+# Fixed values, written again so that the SQL does not depend on the code under test.
+_STOP = """'open_world', 'steam_trading_cards', 'singleplayer', 'multiplayer', 'indie', 'action',
+    'steam_achievements', 'free_to_play', 'adventure', 'simulator', 'simulation', 'strategy', 'rpg', 'co_op',
+    'casual', 'steam', 'party', 'early_access', 'atmospheric', '2d', '3d'"""
+_PATTERN = ("controller|support|steam|remote|play|share|schermo|partida|partage"
+            "|screen|speech|text|lang|audio|achievements")
 
 
 def lift_sql(min_users: int, min_share: float) -> str:
