@@ -6,8 +6,10 @@ end, so that only the first piece is shorter.  Pieces are dealt by a salted
 hash into groups of about ``GROUP`` pieces, and each group is packed on its
 own: best-fit decreasing gives the incumbent, and where it misses the lower
 bound, branch-and-bound fills one bin after another around the largest piece
-left, over undominated fillings only, pruned by the waste an improvement may
-have.  The search has a node budget, beyond which the incumbent stands.
+left, over undominated fillings of any number of pieces, pruned by the waste an
+improvement may have.  A budget of steps back bounds the search, not its depth,
+so that a descent over the whole group always ends; beyond it the best bins
+found so far stand.
 
 A group's last sequences waste less than one sequence or so, a share of about
 one in thousands; groups are independent, so the work spreads over any number
@@ -16,6 +18,8 @@ of executors and a lost one repeats only its own groups.
 
 from __future__ import annotations
 
+import contextlib
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -29,8 +33,15 @@ from playlens.llm.tokens import tokenizer
 
 #: Pieces packed together; a bound on a task's memory and time.
 GROUP = 8192
-#: Nodes of the search per group.
+#: Steps back of the search per group.
 NODES = 2000
+#: Bins of one window of the search, and its steps back.
+WINDOW = 32
+WINDOW_NODES = 200
+#: Thousandths of a sequence that a bin of two pieces may waste in a descent.
+SLACKS = (0, 5, 10, 15, 20, 25, 30, 40, 50, 70, 100, 150)
+#: Partial fillings looked at per bin, before the greedy one ends the list.
+TRIES = 400
 #: Fillings tried per bin, after the undominated ones are ordered by waste.
 BRANCH = 4
 
@@ -75,9 +86,9 @@ def lower_bound(sizes: list[int], capacity: int) -> int:
 
 
 def _dominated(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
-    """Whether the pieces of filling a fit into the pieces of filling b."""
+    """Whether best fit finds places for the pieces of filling a in the pieces of filling b."""
     room = list(b)
-    for x in a:  # both descending, three pieces at most: best fit decides
+    for x in a:  # both descending; a miss of best fit only leaves a filling in
         at = [r for r in room if r >= x]
         if not at:
             return False
@@ -87,89 +98,194 @@ def _dominated(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
     return True
 
 
-def fillings(room: int, counts: np.ndarray, top: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` by up to three pieces of at most
-    ``top`` tokens, the fullest first (``counts``: pieces left by size)."""
-    have = np.flatnonzero(counts[:min(room, top) + 1])[::-1]
-    if not len(have):
-        return [()]
-    found = {(int(have[0]),)}
-    left = have.tolist()
-    present = set(left)
-
-    def largest(limit: int, cap: int):
-        k = np.searchsorted(-have, -min(limit, cap))
-        return int(have[k]) if k < len(have) else 0
-
-    for x in left[:48]:
-        y = largest(room - x, x)
-        if y == x and counts[x] < 2:
-            y = largest(room - x, x - 1)
-        if not y:
-            found.add((x,))
-            continue
-        found.add((x, y))
-        for y2 in (y, largest(room - x, y // 2 or 1), (room - x) // 2):
-            if y2 in present and y2 <= x and (y2 != x or counts[x] > 1):
-                z = largest(room - x - y2, y2)
-                if z and counts[z] >= 1 + (z == y2) + (z == x):
-                    found.add((x, y2, z))
-    best = sorted(found, key=lambda f: (room - sum(f), len(f)))
+class _Left:
+    """The pieces left, by size: counts, and as bits of ``present`` (bit s) and ``mirror`` (bit capacity - s)."""
+
+    def __init__(self, sizes: list[int], capacity: int):
+        self.capacity, self.counts, self.present, self.mirror, self.tries = capacity, [0] * (capacity + 1), 0, 0, 0
+        for s in sizes:
+            self.put(s)
+
+    def put(self, s: int) -> None:
+        self.counts[s] += 1
+        self.present |= 1 << s
+        self.mirror |= 1 << (self.capacity - s)
+
+    def take(self, s: int) -> None:
+        self.counts[s] -= 1
+        if not self.counts[s]:
+            self.present ^= 1 << s
+            self.mirror ^= 1 << (self.capacity - s)
+
+    def exact(self, total: int, top: int) -> Iterator[tuple[int, ...]]:
+        """Fillings of exactly ``total`` by any number of pieces of at most ``top``, each descending."""
+        if total <= top and self.present >> total & 1:
+            yield (total,)
+        yield from self._several(total, top)
+
+    def _several(self, total: int, top: int) -> Iterator[tuple[int, ...]]:
+        """As ``exact``, by two pieces or more; ends with the tries."""
+        self.tries -= 1
+        if self.tries < 0:
+            return
+        half = total // 2
+        at = min(top, total)
+        # bit y: pieces of y and of total - y are there
+        pairs = (self.present & (self.mirror >> (self.capacity - total)) & ((2 << at) - 1)) >> (half + total % 2) << (half + total % 2)
+        while pairs:
+            y = pairs.bit_length() - 1
+            pairs ^= 1 << y
+            if 0 < total - y and (2 * y != total or self.counts[y] > 1):
+                yield (y, total - y)
+        low = (self.present & -self.present).bit_length() - 1
+        sizes = self.present & ((2 << min(top, total - 2 * low)) - 1) if low > 0 and total >= 3 * low else 0
+        while sizes and self.tries > 0:
+            z = sizes.bit_length() - 1
+            if 3 * z < total and z * self.counts[z] < total and not self.present & ((1 << z) - 1):
+                return  # only this size is left, and too little of it
+            sizes ^= 1 << z
+            self.take(z)
+            try:
+                for rest in (inner := self._several(total - z, z)):
+                    yield (z, *rest)
+            finally:  # also when the caller stops here
+                inner.close()
+                self.put(z)
+
+
+def fillings(room: int, left: _Left, waste: int) -> list[tuple[int, ...]]:
+    """Up to ``BRANCH`` undominated fillings of ``room`` that waste at most
+    ``waste``, the fullest first, by any number of pieces."""
     keep: list[tuple[int, ...]] = []
-    for f in best:
-        if not any(_dominated(f, g) for g in keep):
-            keep.append(f)
-        if len(keep) == BRANCH:
+    left.tries = TRIES
+    low = (left.present & -left.present).bit_length() - 1
+    for gap in range(min(room, waste) + 1):
+        if left.tries < 0 or room - gap < low or low < 0:
             break
-    return keep
+        with contextlib.closing(left.exact(room - gap, room - gap)) as found:
+            for f in itertools.islice(found, 2 * BRANCH):
+                if not any(_dominated(f, g) for g in keep):
+                    keep.append(f)
+        if len(keep) >= BRANCH:
+            return sorted(keep, key=lambda f: (-sum(f), len(f)))[:BRANCH]
+    greedy, rest = [], room  # largest first, whatever the tries
+    while fits := left.present & ((2 << rest) - 1):
+        greedy.append(fits.bit_length() - 1)
+        left.take(greedy[-1])
+        rest -= greedy[-1]
+    for s in greedy:
+        left.put(s)
+    if rest <= waste and tuple(greedy) not in keep:
+        keep.append(tuple(greedy))
+    return sorted(keep, key=lambda f: (-sum(f), len(f)))
+
+
+def descend(sizes: list[int], capacity: int, slack: int) -> list[tuple[int, ...]]:
+    """One filling of every bin, each around the largest piece left: one other
+    piece if that wastes at most ``slack``, else the fullest of one or two
+    others, and the rest of the room largest first."""
+    left, bins = _Left(sizes, capacity), []
+    while left.present:
+        big = left.present.bit_length() - 1
+        left.take(big)
+        room, f = capacity - big, [big]
+        while fits := left.present & ((2 << room) - 1):
+            y = fits.bit_length() - 1
+            low = (fits & -fits).bit_length() - 1
+            two = ()
+            if room - y > slack and room >= 2 * low:
+                for gap in range(room - y):  # less than one piece wastes
+                    total = room - gap
+                    pairs = left.present & (left.mirror >> (capacity - total)) & ((1 << total) - 1)
+                    pairs = pairs >> -(-total // 2) << -(-total // 2)
+                    while pairs and (z := pairs.bit_length() - 1) * 2 == total and left.counts[z] < 2:
+                        pairs ^= 1 << z
+                    if pairs:
+                        two = (z, total - z)
+                        break
+            for s in two or (y,):
+                left.take(s)
+                f.append(s)
+                room -= s
+        bins.append(tuple(f))
+    return bins
+
+
+def search(sizes: list[int], capacity: int, bins: int, nodes: int) -> tuple[list[tuple[int, ...]], int]:
+    """Branch-and-bound for fewer than ``bins`` bins: the best fillings found
+    (none if no better) and the steps back that are left of ``nodes``."""
+    bound, total = lower_bound(sizes, capacity), sum(sizes)
+    if bins <= bound:
+        return [], nodes
+    spare = (bins - 1) * capacity - total  # the waste an improvement may have
+    left = _Left(sizes, capacity)
+    path: list[tuple[tuple[int, ...], list[tuple[int, ...]], int]] = []
+    best: list[tuple[int, ...]] = []
+    waste, choice = 0, None
+    while nodes > 0:
+        if choice is None:
+            big = left.present.bit_length() - 1
+            left.take(big)
+            choice = [(big, *f) for f in fillings(capacity - big, left, spare - waste)]
+            left.put(big)
+        while choice and waste + capacity - sum(choice[0]) > spare:
+            choice.pop(0)
+        if choice:
+            f = choice.pop(0)
+            path.append((f, choice, waste))
+            for s in f:
+                left.take(s)
+            waste += capacity - sum(f)
+            choice = None
+            if left.present:
+                continue
+            best = [f for f, _, _ in path]
+            if len(best) <= bound:
+                break
+            spare = (len(best) - 1) * capacity - total
+        if not path:
+            break
+        nodes -= 1
+        f, choice, waste = path.pop()
+        for s in f:
+            left.put(s)
+    return best, nodes
 
 
 def bin_completion(sizes: list[int], capacity: int, nodes: int = NODES) -> list[list[int]]:
-    """Bins as lists of indices; never worse than best-fit decreasing."""
+    """Bins as lists of indices; never worse than best-fit decreasing.
+
+    Whole descents come first, with several slacks; then the search completes
+    the bins again in windows, the most wasteful bins first.  ``nodes`` is how
+    often it may go back, at most ``WINDOW_NODES`` in one window.
+    """
     incumbent = best_fit(sizes, capacity)
     bound = lower_bound(sizes, capacity) if sizes else 0
-    total = sum(sizes)
-    while len(incumbent) > bound and nodes > 0:
-        spare = (len(incumbent) - 1) * capacity - total  # the waste an improvement may have
-        counts = np.bincount(np.asarray(sizes), minlength=capacity + 1)
-        path: list[tuple[tuple[int, ...], list[tuple[int, ...]], int]] = []
-        waste, left, done = 0, len(sizes), False
-
-        def options(waste: int, counts=counts, spare=spare):
-            big = int(np.flatnonzero(counts)[-1])
-            counts[big] -= 1
-            fs = [(big, *f) for f in fillings(capacity - big, counts, capacity)]
-            counts[big] += 1
-            return [f for f in fs if waste + capacity - sum(f) <= spare]
-
-        choice = options(0)
-        while nodes > 0:
-            if choice:
-                f = choice.pop(0)
-                path.append((f, choice, waste))
-                for s in f:
-                    counts[s] -= 1
-                left -= len(f)
-                waste += capacity - sum(f)
-                nodes -= 1
-                if not left:
-                    done = True
-                    break
-                choice = options(waste)
-            else:
-                if not path:
-                    break
-                f, choice, waste = path.pop()
-                for s in f:
-                    counts[s] += 1
-                left += len(f)
-        if not done:
+    if len(incumbent) <= bound:
+        return incumbent
+    bins = [tuple(sizes[i] for i in b) for b in incumbent]
+    for slack in SLACKS:
+        bins = min(bins, descend(sizes, capacity, slack * capacity // 1000), key=len)
+        if len(bins) <= bound:
             break
-        by_size: dict[int, list[int]] = {}
-        for i, s in enumerate(sizes):
-            by_size.setdefault(s, []).append(i)
-        incumbent = [[by_size[s].pop() for s in f] for f, _, _ in path]
-    return incumbent
+    bins.sort(key=sum)
+    at = 0
+    while nodes > 0 and len(bins) > bound and at < len(bins) and sum(bins[at]) < capacity:
+        window = bins[at:at + WINDOW]
+        better, after = search([s for f in window for s in f], capacity, len(window), min(nodes, WINDOW_NODES))
+        nodes -= max(1, min(nodes, WINDOW_NODES) - after)
+        if better:
+            bins[at:at + WINDOW] = better
+            bins.sort(key=sum)
+            at = 0
+        else:
+            at += WINDOW
+    if len(bins) >= len(incumbent):
+        return incumbent
+    by_size: dict[int, list[int]] = {}
+    for i, s in enumerate(sizes):
+        by_size.setdefault(s, []).append(i)
+    return [[by_size[s].pop() for s in f] for f in bins]
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
