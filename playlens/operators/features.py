@@ -74,8 +74,11 @@ def tfidf_features(arrays: DataFrame, min_df: int = 5, input_col: str = "all_tag
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import IDF, CountVectorizer, Normalizer
 
+    # the default vocabulary drops the rarest tags beyond 262,144 of them
+    tags = arrays.select(F.explode(F.array_distinct(input_col)).alias("tag"))
+    size = tags.groupBy("tag").count().where(F.col("count") >= min_df).count()
     pipe = Pipeline(stages=[
-        CountVectorizer(inputCol=input_col, outputCol="raw_features", minDF=float(min_df)),
+        CountVectorizer(inputCol=input_col, outputCol="raw_features", minDF=float(min_df), vocabSize=max(1, size)),
         IDF(inputCol="raw_features", outputCol="features_raw"),
         Normalizer(inputCol="features_raw", outputCol="features", p=2.0),
     ])
