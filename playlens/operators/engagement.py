@@ -100,17 +100,35 @@ def one_row_per_key(items: DataFrame, key: str, order_by) -> DataFrame:
     return dedupe(items.filter(F.col(key).isNotNull()), [key], order_by)
 
 
+def merged_per_key(items: DataFrame, key: str, union: Sequence[str], order_by) -> DataFrame:
+    """As ``one_row_per_key``, but the array columns ``union`` hold the elements
+    of all rows of the key, each once and sorted (a single row's as they are).
+    """
+    def merged(c: str) -> Column:
+        every = F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+        return F.when(F.count(c) > 1, every).otherwise(F.max(c)).alias(c)
+
+    rows = items.filter(F.col(key).isNotNull())
+    lists = rows.groupBy(F.col(key).alias("_mk")).agg(*[merged(c) for c in union])
+    one = one_row_per_key(rows, key, order_by).drop(*union)
+    return one.join(lists, one[key] == lists["_mk"]).drop("_mk")
+
+
 def enrich(interactions: DataFrame, items: DataFrame, key: str, cols: Sequence[str],
-           items_key: str | None = None, order_by=None, allow_fanout: bool = False) -> DataFrame:
+           items_key: str | None = None, order_by=None, allow_fanout: bool = False,
+           union: Sequence[str] = ()) -> DataFrame:
     """Left-join item attributes onto interactions by ``key``.
 
     The catalogue key need not be unique; unless ``allow_fanout`` the
     catalogue is first reduced to one row per key, so an interaction is never
-    duplicated (which would inflate every later sum and count).
+    duplicated (which would inflate every later sum and count); of the array
+    columns ``union`` that row has the elements of all rows of the key.
     """
     items_key = items_key or key
     if not allow_fanout:
-        items = one_row_per_key(items, items_key, order_by or [F.col(items_key)])
+        order_by = order_by or [F.col(c) for c in dict.fromkeys([items_key, *cols])]
+        items = (merged_per_key(items, items_key, union, order_by) if union
+                 else one_row_per_key(items, items_key, order_by))
     view = items.select(F.col(items_key).alias("_k"), *cols)
     return interactions.join(view, interactions[key] == view["_k"], "left").drop("_k")
 

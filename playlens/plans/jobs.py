@@ -64,7 +64,7 @@ def combine_job(spark: SparkSession, silver_a: str, silver_b: str, libraries: st
     stats = eng.item_stats(eng.positive(rows, "playtime_forever"))
     master = materialize(compute_similar_games(master_catalogue(a, b, stats), k=k, max_tag_freq=max_tag_freq))
     interactions = eng.enrich(eng.score_interactions(rows), master, "steam_appid", TAG_COLS,
-                              order_by=[F.col("igdb_id")])
+                              order_by=[F.col("igdb_id")], union=TAG_COLS)
     sinks.upsert_table(master, master_table, ["igdb_id"])
     sinks.write_gold(interactions, interactions_path)
     return {"master": sinks.read_current(spark, master_table).count(),
