@@ -28,7 +28,7 @@ def _driver_memory() -> str:
     return f"{max(1, min(16, int(total * 0.6) >> 30))}g"
 
 
-HEADLINE = ["master", "tag_similarity_wide", "cohort_profile", "recommend", "segment_top_items"]
+HEADLINE = ["master", "tag_similarity_all", "cohort_profile", "recommend", "segment_top_items"]
 
 
 def main() -> None:
