@@ -73,12 +73,29 @@ def ship(spark: SparkSession) -> None:
     sc._playlens_shipped = True
 
 
-def map_rows(df: DataFrame, uses: list[str], fn, fields: str) -> DataFrame:
+def in_blocks(batch, at: int, block_bytes: int):
+    """Cut a batch so that the texts of column ``at`` of a block hold about
+    ``block_bytes`` (one longer text is a block of its own)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    size = pc.fill_null(pc.binary_length(batch.column(at)), 0).cast(pa.int64()).to_numpy(zero_copy_only=False)
+    block = np.cumsum(size) // block_bytes
+    bounds = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(bounds, bounds[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def map_rows(df: DataFrame, uses: list[str], fn, fields: str, block_bytes: int | None = None) -> DataFrame:
     """Append columns that ``fn`` computes from Arrow batches of ``uses``.
 
     ``fn(list of arrays) -> list of arrays`` runs inside tasks, batch by
-    batch.  All columns of ``df`` are carried by position, so their names may
-    clash with anything; a new column whose name is taken gets underscores.
+    batch; with ``block_bytes``, by blocks of about so many bytes of the first
+    column of ``uses``.  All columns of ``df`` are carried by position, so
+    their names may clash with anything; a new column whose name is taken gets
+    underscores.
     """
     import pyarrow as pa
     from pyspark.sql import types as T
@@ -91,9 +108,10 @@ def map_rows(df: DataFrame, uses: list[str], fn, fields: str) -> DataFrame:
     names = [f.name for f in inside]
 
     def run(batches):
-        for b in batches:
-            got = fn([b.column(i) for i in at])
-            yield pa.RecordBatch.from_arrays([*b.columns, *got], names)
+        for batch in batches:
+            for b in in_blocks(batch, at[0], block_bytes) if block_bytes else [batch]:
+                got = fn([b.column(i) for i in at])
+                yield pa.RecordBatch.from_arrays([*b.columns, *got], names)
 
     out = df.toDF(*names[:n]).mapInArrow(run, inside)
     final = list(df.columns)
@@ -103,3 +121,21 @@ def map_rows(df: DataFrame, uses: list[str], fn, fields: str) -> DataFrame:
             name += "_"
         final.append(name)
     return out.toDF(*final)
+
+
+#: Keys that may be broadcast: those with at least 1/HEAVY of the whole weight, so at most HEAVY.
+HEAVY = 65_536
+
+
+def heavy_lookup(left: DataFrame, right: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """Inner join of ``left`` with ``right`` (one row per key), safe from hot keys.
+
+    ``weight`` of ``right`` says how often a key occurs.  At most ``HEAVY``
+    keys can hold 1/HEAVY of the whole weight, so those are broadcast; the
+    others, none of which is hot, meet their rows by a shuffled join.  Both
+    frames are read twice: pass written tables."""
+    total = right.agg(F.sum(weight)).first()[0] or 0
+    is_heavy = F.col(weight) * F.lit(HEAVY) >= F.lit(total)
+    heavy = F.broadcast(right.where(is_heavy))
+    return (left.join(heavy, keys)
+            .unionByName(left.join(heavy.select(*keys), keys, "left_anti").join(right.where(~is_heavy), keys)))

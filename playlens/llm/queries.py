@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playlens.llm.alignment import align_corpus
 from playlens.llm.common import pick, scratch_path, ship, table
 from playlens.llm.chat import events_of, format_events, read_back
 from playlens.llm.decontaminate import mark_contamination
@@ -18,9 +19,10 @@ from playlens.llm import idcoder
 from playlens.llm.license_scan import scan_licenses
 from playlens.llm.line_dedup import dedup_lines
 from playlens.llm.packing import pack_documents
+from playlens.llm.phrases import collocations
 from playlens.llm.sharding import shuffle_into_shards
 from playlens.llm.simhash_dedup import simhash_dedup
-from playlens.llm.tokens import default_path, vocabulary_size
+from playlens.llm.tokens import default_path, tokenizer_file, vocabulary_size
 from playlens.llm.toxicity import fit_on_labels, held_out, score_documents
 from playlens.llm.vector_dedup import vector_dedup
 
@@ -132,6 +134,18 @@ def op10_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), default_path(), capacity=2048, end_id=0)
 
 
+@query
+def op11_shared_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents aligned between a byte-level and a piece vocabulary."""
+    return align_corpus(table(spark, sf_dir, "documents"), default_path(), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query
+def op12_toivonen_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collocations of two and three words of every language."""
+    return collocations(table(spark, sf_dir, "documents"), least=10, keep_share=50, top=2000)
+
+
 ORACLE["op9_chat_format"] = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -168,3 +182,32 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_h
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+ORACLE["op12_toivonen_phrases"] = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents) x),
+grams AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+        FROM pieces, (SELECT unnest([1, 2, 3]) AS k) ks WHERE len(ws) >= k) x),
+freq AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM freq WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM freq WHERE k >= 2 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.a, cut, l.f AS l, r.f AS r, (1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand) c
+  JOIN freq l ON l.lang = c.lang AND l.k = cut AND l.phrase = array_to_string(ws[1:cut], ' ')
+  JOIN freq r ON r.lang = c.lang AND r.k = c.k - cut AND r.phrase = array_to_string(ws[cut + 1:], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_pairs AS (
+  SELECT lang, array_to_string(ws[i:i + 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest([1, 2]) AS i FROM cand WHERE k = 3) x GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM lowest b LEFT JOIN inner_pairs p ON p.lang = b.lang AND p.phrase = b.phrase AND b.k = 2
+  WHERE p.longer IS NULL OR 100 * p.longer < 50 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept JOIN total USING (lang)
+QUALIFY rank <= 2000"""

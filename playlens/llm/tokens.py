@@ -25,11 +25,16 @@ _WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _INSTANCES: dict[str, "CutTokenizer"] = {}
 
 
-def default_path() -> str:
-    """Where the public vocabulary lies on this machine."""
+def tokenizer_file(name: str) -> str:
+    """Where a public vocabulary lies on this machine."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
+
+
+def default_path() -> str:
+    """The byte-level vocabulary."""
+    return tokenizer_file("byte_bpe_50k.json")
 
 
 class CutTokenizer:
