@@ -29,8 +29,11 @@ from playlens.llm.tokens import CutTokenizer, _CUT, _UNSAFE
 
 #: Text bytes that are worked on as one block of arrays.
 BLOCK = 1 << 20
-#: Remembered pieces of text per worker, and the longest that is remembered.
-KNOWN, KNOWN_CHARS = 300_000, 64
+#: Pieces of text that a worker remembers (twice as many while the older ones go), and the longest.
+KNOWN, KNOWN_CHARS = 200_000, 64
+
+#: A part that both vocabularies cut from its neighbours when single spaces join them.
+_PLAIN = re.compile(r"(?s)[!-~¡-ᙿ、-퟿](?:.*[!-~¡-ᙿ、-퟿])?")
 
 
 def divide(ea: np.ndarray, eb: np.ndarray, lo, hi, lob, hib) -> tuple:
@@ -106,46 +109,71 @@ class Pair:
         self.b_len = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
         self.a_digits, self.b_digits = _digits(len(self.a_bytes)), _digits(len(self.b_bytes))
         self.known: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
+
+    def _one(self, part: str) -> tuple:
+        """(ids of A, ids of B, bytes equal) of a part with a space before it."""
+        x = np.frombuffer(self.a.encode([" " + part])[0], dtype="<u4")
+        y = np.array(self.b.encode(part, num_threads=1), dtype="<u4")
+        want = (" " + part).encode()
+        same = (b"".join([self.a_bytes[i] for i in x.tolist()]) == want
+                and b"".join([self.b_bytes[i] for i in y.tolist()]) == want)
+        return x.tobytes(), y.tobytes(), same
 
     def _encode(self, parts: list[str]) -> list[tuple]:
-        """(ids of A, ids of B, bytes equal) of parts, each with a space before it."""
-        a = [np.frombuffer(x, dtype="<u4") for x in self.a.encode([" " + p for p in parts])]
-        b = [np.array(x, dtype="<u4") for x in self.b.encode(parts, num_threads=1)]
+        """``_one`` of each part.  Parts that may stand beside a space are
+        encoded as one text and taken apart at their ends."""
+        out: dict[str, tuple] = {}
+        plain = [p for p in parts if _PLAIN.fullmatch(p)]
+        if plain:
+            want = (" " + " ".join(plain)).encode()
+            ends = np.cumsum([1 + len(p.encode()) for p in plain])
+            whole = self.a.tok.encode_batch_fast([want.decode()], add_special_tokens=False)[0].ids
+            ids = np.array(whole, dtype="<u4")
+            at = np.cumsum(self.a_len[ids])
+            k = np.minimum(np.searchsorted(at, ends), len(at) - 1)
+            b = self.b.encode(plain, num_threads=1)
+            if ((at[k] == ends).all() and b"".join([self.a_bytes[i] for i in whole]) == want
+                    and b"".join([self.b_bytes[i] for x in b for i in x]) == want):
+                raw, stop = ids.tobytes(), (4 * (k + 1)).tolist()
+                out = {p: (raw[i:j], np.array(x, dtype="<u4").tobytes(), True) for p, i, j, x in zip(plain, [0, *stop], stop, b)}
+        return [out.get(p) or self._one(p) for p in parts]
+
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
+        """Ids of space + text by A and B; nothing where the bytes differ."""
+        cuts = []
+        for text in texts:
+            if not text:
+                cuts.append([])
+            elif _UNSAFE.search(text):
+                parts = _CUT.split(text)
+                cuts.append(parts[:1] + [c[1:] for c in parts[1:]])
+            else:
+                cuts.append(text.split(" "))
+        if len(self.known) > KNOWN:
+            self.known, self.older = {}, self.known
+        known, older, extra = self.known, self.older, {}
+        new = {c for parts in cuts for c in parts if c not in known}
+        known.update((c, older[c]) for c in new if c in older)
+        new = [c for c in new if c not in known]
+        for c, got in zip(new, self._encode(new)):
+            (known if len(c) <= KNOWN_CHARS else extra)[c] = got
         out = []
-        for p, x, y in zip(parts, a, b):
-            want = (" " + p).encode()
-            same = (b"".join([self.a_bytes[i] for i in x.tolist()]) == want
-                    and b"".join([self.b_bytes[i] for i in y.tolist()]) == want)
-            out.append((x.tobytes(), y.tobytes(), same))
+        for text, parts in zip(texts, cuts):
+            try:
+                got = [known[c] for c in parts]
+            except KeyError:
+                got = [known.get(c) or extra[c] for c in parts]
+            if not all([g[2] for g in got]):
+                whole = self._one(text)
+                out.append(whole[:2] if whole[2] else (b"", b""))
+            else:
+                out.append((b"".join([g[0] for g in got]), b"".join([g[1] for g in got])))
         return out
 
-    def encode(self, text: str | None) -> tuple[bytes, bytes]:
-        """Ids of space + text by A and B; nothing where the bytes differ."""
-        if not text:
-            return b"", b""
-        if _UNSAFE.search(text):
-            cuts = _CUT.split(text)
-            cuts = cuts[:1] + [c[1:] for c in cuts[1:]]
-        else:
-            cuts = text.split(" ")
-        known = self.known
-        new = list({c for c in cuts if c not in known})
-        extra = {}
-        if new:
-            if len(known) > KNOWN:
-                known.clear()
-                new = list(set(cuts))
-            for c, got in zip(new, self._encode(new)):
-                (known if len(c) <= KNOWN_CHARS else extra)[c] = got
-        got = [known.get(c) or extra[c] for c in cuts] if extra else [known[c] for c in cuts]
-        if not all([g[2] for g in got]):
-            whole = self._encode([text])[0]
-            return whole[:2] if whole[2] else (b"", b"")
-        return b"".join([g[0] for g in got]), b"".join([g[1] for g in got])
-
     def align(self, texts: list[str | None]) -> dict[str, list]:
         """Groups, cuts and distinct linked pairs of each text."""
-        both = [self.encode(t) for t in texts]
+        both = self.encode(texts)
         na = np.array([len(x) // 4 for x, _ in both], dtype=np.int64)
         nb = np.array([len(y) // 4 for _, y in both], dtype=np.int64)
         a = np.frombuffer(b"".join([x for x, _ in both]), dtype="<u4").astype(np.int64)

@@ -31,7 +31,7 @@ SAMPLE, LOWERED = 0.3, 2
 #: Bits of a map per phrase, and bounds of a map's size (bits, powers of two).
 BITS, LEAST, MOST = 16, 1 << 16, 1 << 28
 #: Bytes of text that are counted as one block.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 #: Letters A-Z lowered, and every mark that ends a piece as a full stop.
 _FORM = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz.........")
@@ -132,10 +132,13 @@ def _count_block(texts: list[str], lang: str, border: Border | None, levels: tup
     import pyarrow.compute as pc
 
     words = b" . ".join([t.encode().translate(_FORM).replace(b".", b" . ") for t in texts]).split()
-    known = {w: i for i, w in enumerate({*words, b"."})}
+    known = dict.fromkeys(words)
+    known[b"."] = None
+    names = list(known)
+    known = {w: i for i, w in enumerate(names)}
     ids = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
     mark, n = known[b"."], len(known)
-    names = list(known)
+    del words, known
     text = pa.array(names, pa.binary()).cast(pa.string())
     if 1 in levels:
         c = np.bincount(ids, minlength=n)

@@ -16,6 +16,7 @@ from playlens.llm.common import pick, scratch_path, ship, table
 from playlens.llm.chat import events_of, format_events, read_back
 from playlens.llm.decontaminate import mark_contamination
 from playlens.llm import idcoder
+from playlens.llm.fingerprints import fingerprint_documents
 from playlens.llm.license_scan import scan_licenses
 from playlens.llm.line_dedup import dedup_lines
 from playlens.llm.packing import pack_documents
@@ -146,6 +147,12 @@ def op12_toivonen_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"), least=10, keep_share=50, top=2000)
 
 
+@query
+def op13_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-k fingerprints of all documents and of their edited texts."""
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op9_chat_format"] = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
