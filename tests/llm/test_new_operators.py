@@ -151,9 +151,9 @@ def _brute_phrases(docs, least=10, share=50, top=2000):
     return sorted(out, key=repr)
 
 
-def _phrase_docs(n=260, seed=5):
+def _phrase_docs(n=400, seed=5):
     r = random.Random(seed)
-    words = [f"w{i}" for i in range(30)] + ["The", "the", "of", "ÄÖ", " x", "漢字"]
+    words = [f"w{i}" for i in range(9)] + ["The", "the", "of", "ÄÖ", " x", "漢字"]
     docs = []
     for i in range(n):
         text = "".join(r.choice(words) + r.choice([" ", " ", " ", "  ", "\t", ". ", ",", "\n", ": "]) for _ in range(r.randint(0, 60)))
