@@ -12,15 +12,21 @@ from playlens.operators.joins import left_join_nonnull_keys
 from playlens.operators.topk import dedupe
 
 
+def library_ok(user: str = "steam_id", items: str = "games",
+               max_items: int | None = None, min_items: int = 1) -> Column:
+    """Whether a library has a user id and ``min_items <= size(items) <= max_items``."""
+    n = F.size(F.col(items))
+    return (F.col(user).isNotNull() & F.col(items).isNotNull()
+            & (n >= min_items) & (F.lit(True) if max_items is None else n <= max_items))
+
+
 def valid_libraries(libs: DataFrame, user: str = "steam_id", items: str = "games",
                     max_items: int | None = None, min_items: int = 1) -> DataFrame:
-    """Libraries with a user id and ``min_items <= size(items) <= max_items``.
+    """Libraries for which ``library_ok`` holds.
 
     Works on batch and streaming frames (stateless filter).
     """
-    n = F.size(F.col(items))
-    return libs.filter(F.col(user).isNotNull() & F.col(items).isNotNull()
-                       & (n >= min_items) & (F.lit(True) if max_items is None else n <= max_items))
+    return libs.filter(library_ok(user, items, max_items, min_items))
 
 
 def explode_libraries(libs: DataFrame, user: str = "steam_id", items: str = "games",
@@ -70,6 +76,41 @@ def library_envelope(rows: DataFrame, user: str, element_cols: Sequence[str],
     return out
 
 
+def library_chunks(rows: DataFrame, user: str, element_cols: Sequence[str], order_cols: Sequence[str],
+                   size: int = 500, max_items: int | None = None, min_items: int = 1) -> DataFrame:
+    """G5 for libraries of any size: ``(user, chunk, first, n_games, games)``.
+
+    A user's elements are numbered from 0 in the order of ``order_cols`` (a total
+    order within the user) and cut into chunks of ``size``; ``first`` is the
+    number of a chunk's first element.  No list is longer than ``size`` and no
+    task holds a whole library: rows are dealt into sorted ranges and written
+    once, each range numbers its own rows of a user, and the ranges'
+    counts give the number to start from.  Libraries of more than ``max_items``
+    or fewer than ``min_items`` elements are left out by their counts.  Rows
+    with a NULL user are a library of their own.
+    """
+    from pyspark.sql import Window
+
+    from playlens.session import materialize
+
+    kept = rows.select(user, F.struct(*order_cols).alias("_k"), F.struct(*element_cols).alias("_e"))
+    ranged = materialize(kept.repartitionByRange(user, "_k").withColumn("_range", F.spark_partition_id()), "library-ranges")
+    sizes = ranged.groupBy(F.col(user).alias("_u"), F.col("_range").alias("_r")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per user and range that the user's rows touch
+    before = F.sum("_n").over(Window.partitionBy("_u").orderBy("_r"))
+    total = F.sum("_n").over(Window.partitionBy("_u"))
+    starts = sizes.select("_u", "_r", (before - F.col("_n")).alias("_before"), total.alias("_total")).where(
+        (F.col("_total") >= min_items) & (F.lit(True) if max_items is None else F.col("_total") <= max_items))
+    place = F.row_number().over(Window.partitionBy("_range", user).orderBy("_k"))
+    numbered = (ranged.withColumn("_i", place)
+                .join(starts, (F.col("_range") == F.col("_r")) & F.col(user).eqNullSafe(F.col("_u")))
+                .withColumn("_i", F.col("_before") + F.col("_i") - 1)
+                .withColumn("chunk", F.floor(F.col("_i") / size)))
+    return (numbered.groupBy(user, "chunk").agg(F.sort_array(F.collect_list(F.struct("_i", "_e"))).alias("_l"))
+            .select(user, "chunk", (F.col("chunk") * size).alias("first"), F.size("_l").alias("n_games"),
+                    F.transform("_l", lambda x: x["_e"]).alias("games")))
+
+
 def positive(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col) > 0)
 

@@ -95,10 +95,17 @@ def assign_cohorts(arrays: DataFrame, user: str = "steam_id", k: int = 30, seed:
     place them).  K-Means is iterative and seeded; results depend on data
     order, so tests check invariants, not exact labels.
     """
+    return learn_cohorts(arrays, user, k, seed, min_df, distance, max_iter)[:2]
+
+
+def learn_cohorts(arrays: DataFrame, user: str = "steam_id", k: int = 30, seed: int = 42,
+                  min_df: int = 5, distance: str = "euclidean", max_iter: int = 20):
+    """As ``assign_cohorts``, with the learned centres as a third frame
+    ``(cohort_id, tag, value)`` of their values that aren't zero."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import vector_to_array
 
-    _, feats = tfidf_features(arrays, min_df=min_df)
+    features, feats = tfidf_features(arrays, min_df=min_df)
     if distance == "cosine":
         feats = feats.filter(F.aggregate(vector_to_array("features"), F.lit(0.0),
                                          lambda acc, x: acc + F.abs(x)) > 0)
@@ -106,7 +113,57 @@ def assign_cohorts(arrays: DataFrame, user: str = "steam_id", k: int = 30, seed:
                 featuresCol="features", predictionCol="cohort_id")
     model = km.fit(feats)
     pred = model.transform(feats)
-    return pred.select(user, F.col("cohort_id").cast("int").alias("cohort_id")), pred
+    # the library holds the centres in the driver, k times the vocabulary
+    words = features.stages[0].vocabulary
+    values = [(c, words[i], float(x)) for c, centre in enumerate(model.clusterCenters()) for i, x in enumerate(centre) if x]
+    centres = arrays.sparkSession.createDataFrame(values, "cohort_id int, tag string, value double")
+    return pred.select(user, F.col("cohort_id").cast("int").alias("cohort_id")), pred, centres
+
+
+def nearer_elsewhere(weights: DataFrame, assign: DataFrame, centres: DataFrame, user: str = "steam_id",
+                     tolerance: float = 1e-6) -> DataFrame:
+    """Users with a centre that is nearer than their own cohort's by more than ``tolerance``.
+
+    ``weights`` holds each user's vector as ``(user, tag, weight)`` rows.  The squared distance to a
+    centre, less the user's own square, is |centre|^2 - 2 dot; a centre that
+    shares no tag with the user has dot 0.
+    """
+    norms = centres.groupBy("cohort_id").agg(F.sum(F.col("value") * F.col("value")).alias("square"))
+    dots = (weights.select(user, "tag", "weight").join(centres, "tag").groupBy(user, "cohort_id")
+            .agg(F.sum(F.col("weight") * F.col("value")).alias("dot")).join(norms, "cohort_id")
+            .select(user, "cohort_id", (F.col("square") - 2 * F.col("dot")).alias("far")))
+    own = (assign.join(dots, [user, "cohort_id"], "left").join(norms, "cohort_id", "left")
+           .select(user, F.coalesce("far", "square", F.lit(0.0)).alias("own")))
+    least = dots.groupBy(user).agg(F.min("far").alias("least"))
+    empty = norms.agg(F.min("square")).scalar()
+    return (own.join(least, user, "left")
+            .where(F.col("own") > F.least(F.coalesce("least", empty), empty) + tolerance).select(user))
+
+
+def cohort_silhouette(weights: DataFrame, assign: DataFrame, user: str = "steam_id") -> DataFrame:
+    """M5 in closed form: ``(user, cohort_id, silhouette)`` by cosine distance.
+
+    The mean distance of a unit vector to a cohort is 1 - dot(vector, sum of the
+    cohort's vectors) / size, so the sums per cohort and tag (k times the
+    vocabulary) stand for all pairs of users.  Within the own cohort the user
+    itself is left out; a cohort of one has silhouette 0.  A user without
+    weights is at distance 1 from every cohort.
+    """
+    sizes = assign.groupBy("cohort_id").agg(F.count(F.lit(1)).alias("size"))
+    unit = weights.select(user, "tag", "weight")
+    sums = (unit.join(assign, user).groupBy("cohort_id", "tag").agg(F.sum("weight").alias("total"))
+            .join(sizes, "cohort_id").select("tag", F.col("cohort_id").alias("c"), "size", "total"))
+    far = (unit.join(sums, "tag").groupBy(user, "c").agg(F.sum(F.col("weight") * F.col("total")).alias("dot"), F.max("size").alias("size"))
+           .select(user, "c", (1 - F.col("dot") / F.col("size")).alias("far")))
+    mine = F.col("c") == F.col("cohort_id")
+    per = (assign.join(far, user, "left").groupBy(user, "cohort_id")
+           .agg(F.max(F.when(mine, F.col("far"))).alias("a"), F.min(F.when(~mine, F.col("far"))).alias("b"))
+           .join(sizes, "cohort_id"))
+    a = F.coalesce("a", F.lit(1.0)) * F.col("size") / (F.col("size") - 1)
+    per = per.select(user, "cohort_id", "size", F.when(F.col("size") > 1, a).alias("a"), F.coalesce("b", F.lit(1.0)).alias("b"))
+    value = F.when((F.col("size") == 1) | (F.greatest("a", "b") == 0), F.lit(0.0)).otherwise(
+        (F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    return per.select(user, "cohort_id", value.alias("silhouette"))
 
 
 def cohort_quality(predictions: DataFrame, cohort_col: str = "cohort_id") -> float:

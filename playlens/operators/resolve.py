@@ -63,6 +63,33 @@ def page(df: DataFrame, order_by, limit: int, offset: int = 0) -> DataFrame:
     return ordered.limit(limit)
 
 
+def keyset_page(df: DataFrame, order: Sequence[tuple[str, bool]], limit: int,
+                after: Sequence | None = None) -> tuple[DataFrame, tuple | None]:
+    """L1/L2 by cursor: the ``limit`` rows behind ``after``, and the next cursor.
+
+    ``order`` lists ``(column, descending)``, together a total order; NULLs come last.
+    ``after`` is the sort key of the last row seen (None: the first page), and the
+    next cursor that of the page's last row (None: nothing is left).  Rows up to
+    the cursor are filtered out in the scan, then each task keeps its first
+    ``limit`` rows: page 1000 costs what page 1 does, where an offset sorts all
+    pages before it.
+    """
+    if after is not None:
+        behind, equal = F.lit(False), F.lit(True)
+        for (c, descending), v in zip(order, after):
+            if v is not None:
+                beyond = F.col(c) < F.lit(v) if descending else F.col(c) > F.lit(v)
+                behind = behind | (equal & (beyond | F.col(c).isNull()))
+            equal = equal & F.col(c).eqNullSafe(F.lit(v))
+        df = df.filter(behind)
+    sort = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c, descending in order]
+    rows = df.orderBy(*sort).limit(limit)
+    # the page's last row: the greatest of its at most ``limit`` rows
+    back = [F.col(c).asc_nulls_first() if descending else F.col(c).desc_nulls_first() for c, descending in order]
+    last = rows.select(*[c for c, _ in order]).orderBy(*back).limit(1).collect()
+    return rows, tuple(last[0]) if last else None
+
+
 RAWG_DEFAULTS = {
     "rawg_rating": 0.0,
     "rawg_metacritic": 0,
@@ -129,11 +156,9 @@ def pages(df: DataFrame, order_by, page_size: int, max_pages: int | None = None)
 
     All pages are numbered range by range: rows are dealt into sorted ranges
     and written once, a range's rows are numbered in its own window, and the
-    ranges' sizes (one row each) give its offset.
-
-    At most ``page_size * max_pages`` rows survive the ordered limit (a
-    top-N per partition, then one bounded merge), so numbering them in one
-    window touches a bounded set.
+    ranges' sizes (one row each) give its offset.  The first ``max_pages`` are
+    an ordered limit (a top-N per partition, then one bounded merge), numbered
+    in one window of at most ``page_size * max_pages`` rows.
     """
     from pyspark.sql import Window
 

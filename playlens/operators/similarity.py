@@ -4,12 +4,11 @@ Plan shape (kept deliberately):
 
 1. items with equal tag sets are one set: pairs are built between sets, and a
    set carries its first ``k + 1`` items only;
-2. each set is exploded once to ``(set, tag)`` rows; a tag's sets are dealt
-   into blocks of about ``BLOCK``, and blocks are joined with the tag's other
-   sets, so no task owns a whole tag, however frequent;
-3. shared tags are counted per pair of sets (``a < b``, mirrored by one
-   explode), scored, and the best ``k + 1`` sets kept per set with
-   ``row_number`` (``WindowGroupLimit`` runs before the exchange);
+2. the sets nearest to each set come from the bounded set join of
+   ``setjoin.py``: pairs are met through their rarest common tags and only
+   at or above a threshold that falls until a set has ``k`` neighbours;
+3. the best ``k + 1`` sets are kept per set with ``row_number``
+   (``WindowGroupLimit`` runs before the exchange);
 4. the sets' first items give each set its best ``k + 1`` items, and every
    item takes that list without itself.
 
@@ -25,12 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens.functions.scalar import jaccard, unify_tags
+from playlens.operators.setjoin import rarity_codes, top_sets
 from playlens.operators.topk import top_k
 from playlens.session import materialize
 
-#: Sets of a tag that one block of the pair join holds, about.
-BLOCK = 1000
-
 
 def item_tag_rows(items: DataFrame, id_col: str, name_col: str,
                   tag_cols: Sequence[str]) -> DataFrame:
@@ -84,16 +81,14 @@ def tag_similarity(items: DataFrame, id_col: str = "igdb_id", name_col: str = "i
     items with the same name stay distinct.  Order: score desc, neighbour
     name asc (NULL first), neighbour id asc.
 
-    Only numbers travel with the pairs (ids, set sizes, a name-order key); names
-    are carried by the first items of each set.  The per-item table with the
+    Only numbers travel with the pairs (ids, counts, a score); names are carried
+    by the first items of each set.  The per-item table with the
     order key is written once to the checkpoint folder, so all readers agree
     on the keys.  ``partitions`` (default ``spark.sql.shuffle.partitions``) is
     the width of the pair join, also where one side is broadcast.
     """
     if size_basis not in ("all", "kept"):
         raise ValueError("size_basis must be 'all' or 'kept'")
-    spark = items.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = item_tag_rows(items, id_col, name_col, tag_cols)
     kept = drop_frequent_tags(rows, max_tag_freq).filter(F.col("tag").isNotNull())
     # an item's own tags: a list no longer than the item's record
@@ -110,23 +105,12 @@ def tag_similarity(items: DataFrame, id_col: str = "igdb_id", name_col: str = "i
     heads = materialize(heads.withColumn("sid", F.first("id").over(Window.partitionBy(*in_set).orderBy(*order))), "sets")
     firsts = heads.filter("pos = 1")
 
-    tagged = firsts.select("sid", F.col("n_tags").alias("n"), F.col("name_ord").alias("o"), F.explode("tags").alias("tag"))
-    blocks = tagged.groupBy("tag").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
-    dealt = tagged.join(blocks, "tag")
-    a = (dealt.select("tag", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int").alias("blk"),
-                      F.col("sid").alias("a_id"), F.col("n").alias("a_n"), F.col("o").alias("a_o"))
-         .repartition(n_parts, "tag", "blk"))
-    b = dealt.select("tag", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("blk"),
-                     F.col("sid").alias("b_id"), F.col("n").alias("b_n"), F.col("o").alias("b_o"))
-    pairs = a.join(b, ["tag", "blk"]).filter(F.col("a_id") < F.col("b_id"))
-    # size and name key are functions of the set: grouping by them as well
-    # changes nothing in cardinality and keeps the aggregate all-numeric
-    shared = (pairs.groupBy("a_id", "b_id", "a_n", "b_n", "a_o", "b_o").agg(F.count(F.lit(1)).alias("shared"))
-              .withColumn("score", jaccard(F.col("shared"), F.col("a_n"), F.col("b_n"))))
-    both = shared.select(F.explode(F.array(
-        F.struct(F.col("a_id").alias("sid"), F.col("b_id").alias("nbr_sid"), F.col("b_o").alias("nbr_o"), "shared", "score"),
-        F.struct(F.col("b_id").alias("sid"), F.col("a_id").alias("nbr_sid"), F.col("a_o").alias("nbr_o"), "shared", "score"),
-    )).alias("p")).select("p.*")
+    sets = rarity_codes(firsts.select("sid", F.explode("tags").alias("tag")), "sid", "tag").join(
+        firsts.select("sid", F.col("n_tags").alias("n")), "sid")
+    # k other sets beside the set itself
+    pairs = top_sets(materialize(sets, "coded-sets"), k, partitions=partitions)
+    orders = firsts.select(F.col("sid").alias("nbr_sid"), F.col("name_ord").alias("nbr_o"))
+    both = pairs.join(orders, "nbr_sid").select("sid", "nbr_sid", "nbr_o", "shared", "score")
     n_own = F.size("tags").cast("long")
     own = firsts.select("sid", F.col("sid").alias("nbr_sid"), F.col("name_ord").alias("nbr_o"), n_own.alias("shared"),
                         jaccard(n_own, F.col("n_tags"), F.col("n_tags")).alias("score"))

@@ -5,8 +5,8 @@ the master catalogue and scored interactions (O4, O5, O6) -> learn cohorts,
 profile them and recommend (O7, O8, O9) -> serve documents (O10).
 
 Each job reads its inputs, returns early on empty input, writes its output
-and reports counts taken from the written data, so nothing is recomputed
-for reporting.  Thresholds are parameters with the reference's defaults.
+and reports counts taken while it is written, so nothing is computed or read
+again for reporting.  Thresholds are parameters with the reference's defaults.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from playlens.operators.resolve import as_of_filter, master_catalogue
 from playlens.operators.similarity import compute_similar_games
 from playlens.operators.topk import dedupe
 from playlens.session import materialize
-from playlens.sources import sinks
+from playlens.sources import keyed, sinks
 from playlens.sources.readers import has_rows, read_gold, read_raw_json, read_silver
 from playlens.sources.schemas import CATALOGUE_A_SCHEMA, CATALOGUE_A_SILVER_SCHEMA, CATALOGUE_B_SCHEMA
 from playlens.streaming.loads import consolidate_libraries
@@ -39,13 +39,13 @@ def format_job(spark: SparkSession, raw_path: str, silver_root: str, dt: str, so
     if not has_rows(raw):
         return 0
     fmt = format_catalogue_a if source == "a" else format_catalogue_b
-    out = sinks.write_partition(fmt(raw), silver_root, dt, files)
-    return spark.read.parquet(out).count()
+    return sinks.write_counted(fmt(raw), lambda df: sinks.write_partition(df, silver_root, dt, files),
+                               {"written": F.count(F.lit(1))})["written"]
 
 
 def libraries_job(spark: SparkSession, library_dir: str, out_dir: str, checkpoint_dir: str,
-                  max_items: int | None = None) -> int:
-    """O3: drain new library files into the consolidated table."""
+                  max_items: int | None = None) -> dict:
+    """O3: drain new library files into the consolidated table; batches, records read and rejected."""
     return consolidate_libraries(spark, library_dir, out_dir, checkpoint_dir, max_items)
 
 
@@ -65,10 +65,10 @@ def combine_job(spark: SparkSession, silver_a: str, silver_b: str, libraries: st
     master = materialize(compute_similar_games(master_catalogue(a, b, stats), k=k, max_tag_freq=max_tag_freq))
     interactions = eng.enrich(eng.score_interactions(rows), master, "steam_appid", TAG_COLS,
                               order_by=[F.col("igdb_id")], union=TAG_COLS)
-    sinks.upsert_table(master, master_table, ["igdb_id"])
-    sinks.write_gold(interactions, interactions_path)
-    return {"master": sinks.read_current(spark, master_table).count(),
-            "interactions": spark.read.parquet(interactions_path).count()}
+    refused = keyed.upsert_keyed(master, master_table, ["igdb_id"])
+    written = sinks.write_counted(interactions, lambda df: sinks.write_gold(df, interactions_path),
+                                  {"interactions": F.count(F.lit(1))})
+    return {"master": keyed.read_keyed(spark, master_table).count(), "refused": refused.count(), **written}
 
 
 def train_job(spark: SparkSession, interactions_path: str, out_path: str, k: int = 30, seed: int = 42,
@@ -95,20 +95,21 @@ def train_job(spark: SparkSession, interactions_path: str, out_path: str, k: int
         owned = eng.explode_libraries(read_silver(spark, libraries)).select("steam_id", "steam_appid")
     ranked = rec.recommend(inter, labelled, owned, min_score=min_score, max_share=max_share,
                            per_cohort=per_cohort, per_user=per_user, n_cohorts=k)
-    sinks.write_gold(rec.pack_recommendations(ranked), out_path)
-    return {"users": spark.read.parquet(out_path).count(), "silhouette": silhouette}
+    written = sinks.write_counted(rec.pack_recommendations(ranked), lambda df: sinks.write_gold(df, out_path),
+                                  {"users": F.count(F.lit(1))})
+    return {**written, "silhouette": silhouette}
 
 
 def serve_jobs(spark: SparkSession, master_table: str, recommendations: str, catalogue_index: str,
                recommendation_index: str) -> dict:
     """Catalogue documents upserted, recommendation documents replaced."""
     out = {}
-    master = sinks.read_current(spark, master_table)
+    master = keyed.read_keyed(spark, master_table)
     if has_rows(master):
-        sinks.serve_upsert(master, "igdb_id", catalogue_index)
-        out["catalogue_docs"] = sinks.read_current(spark, catalogue_index).count()
+        keyed.serve_upsert(master, "igdb_id", catalogue_index)
+        out["catalogue_docs"] = keyed.read_keyed(spark, catalogue_index).count()
     recs = read_gold(spark, recommendations)
     if has_rows(recs):
-        sinks.serve_replace(recs, "steam_id", recommendation_index)
+        keyed.serve_replace(recs, "steam_id", recommendation_index)
         out["recommendation_docs"] = spark.read.parquet(recommendation_index).count()
     return out

@@ -173,20 +173,23 @@ def q_tag_frequency(spark, d):
     return sim.tag_frequency(rows).withColumn("is_frequent", F.col("n_items") > R.TAG_CAP)
 
 
-def _similarity(cap, basis):
+def _similarity(cap, basis, k=R.NEIGHBOURS):
     def run(spark, d):
         top = sim.tag_similarity(R.items(spark, d), "item_id", "item_name",
                                  ["genre_names", "theme_names", "tag_names"],
-                                 k=R.NEIGHBOURS, max_tag_freq=cap, size_basis=basis)
+                                 k=k, max_tag_freq=cap, size_basis=basis)
         return top.select("id", "rank", "nbr_id", "nbr_name", "shared", r6("score").alias("score"))
     return run
 
 
 query("tag_similarity_all", S.similarity_sql(None, R.NEIGHBOURS, "all"))(_similarity(None, "all"))
 query("tag_similarity_kept", S.similarity_sql(None, R.NEIGHBOURS, "kept"))(_similarity(None, "kept"))
-# the reference's own cap on a tag's frequency, for parity
-query("tag_similarity_wide", S.similarity_sql(R.TAG_CAP_WIDE, R.NEIGHBOURS, "all"))(
+query("tag_similarity_wide", S.similarity_sql(None, 2 * R.NEIGHBOURS, "all"))(_similarity(None, "all", 2 * R.NEIGHBOURS))
+# cut as the reference cuts: tags of over 1,500 items are left out
+query("tag_similarity_reference_cap", S.similarity_sql(R.TAG_CAP_WIDE, R.NEIGHBOURS, "all"))(
     _similarity(R.TAG_CAP_WIDE, "all"))
+# a cap that bites at sf0.01
+query("tag_similarity_capped", S.similarity_sql(R.TAG_CAP, R.NEIGHBOURS, "kept"))(_similarity(R.TAG_CAP, "kept"))
 
 
 @query("neighbour_lists", S.similarity_sql(None, R.NEIGHBOURS, "all", f"""SELECT id,

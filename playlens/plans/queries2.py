@@ -243,7 +243,8 @@ merged AS (SELECT p_partkey, p_name, p_retailprice FROM part
            UNION ALL SELECT * FROM ok)"""
 
 
-def _upserted(spark, d):
+def upsert_source(spark, d):
+    """Target and source of the upserts: new prices, new items, NULL and repeated keys."""
     p = R.table(spark, d, "part")
     target = p.select("p_partkey", "p_name", "p_retailprice")
     src = (p.filter("p_size <= 25").select("p_partkey", "p_name", (F.col("p_retailprice") + 1.0).alias("p_retailprice"))
@@ -256,7 +257,11 @@ def _upserted(spark, d):
                                                         (F.col("p_retailprice") + 2.0).alias("p_retailprice")))
            .unionByName(p.filter("p_size = 48").select("p_partkey", "p_name",
                                                         (F.col("p_retailprice") + 3.0).alias("p_retailprice"))))
-    return upsert(target, src, ["p_partkey"])
+    return target, src
+
+
+def _upserted(spark, d):
+    return upsert(*upsert_source(spark, d), ["p_partkey"])
 
 
 @query("upsert_items", _UPSERT_SQL + "\nSELECT p_partkey, p_name, round(p_retailprice, 6) AS p_retailprice FROM merged")

@@ -1,4 +1,4 @@
-"""All registered queries and oracle SQL (importing both query modules)."""
+"""All registered queries and oracle SQL (importing the query modules)."""
 
-from playlens.plans import queries2  # noqa: F401  (registers part 2)
+from playlens.plans import queries2, queries3  # noqa: F401  (they register theirs)
 from playlens.plans.queries import ORACLE, QUERIES  # noqa: F401

@@ -16,6 +16,41 @@ def read_raw_json(spark: SparkSession, path: str, schema: str, multiline: bool =
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path, multiLine=multiline)
 
 
+#: Field that holds a record that is no object of the schema.
+CORRUPT = "_corrupt_record"
+
+
+def read_raw_json_checked(spark: SparkSession, path: str, schema: str, key: str = "id",
+                          multiline: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1/S2 with account of bad records: ``(good, rejects)``.
+
+    Each record is judged on its own, so one bad record costs no other:
+    ``multiline`` files hold an array of records (or one record) each, others one record or
+    array a line.  A reject is ``(source_file, reason, record)``: ``broken`` is text
+    that is no JSON, or a record with a value of another type than the schema's; ``no_key`` a
+    record without ``key``.  Empty files and lines hold nothing.  ``good`` has the
+    schema's columns.  Both frames read the files: write ``judged_records`` once where both are needed.
+    """
+    judged = judged_records(spark, path, schema, key, multiline)
+    return (judged.where(F.col("reason").isNull()).select("row.*"),
+            judged.where(F.col("reason").isNotNull()).select("source_file", "reason", "record"))
+
+
+def judged_records(spark: SparkSession, path: str, schema: str, key: str = "id", multiline: bool = True) -> DataFrame:
+    """``(source_file, record, row, reason)`` of every record; ``reason`` is NULL for a good one."""
+    text = (spark.read.text(path, wholetext=multiline)
+            .select(F.input_file_name().alias("source_file"), F.trim(F.col("value"), F.lit(" \t\r\n")).alias("value"))
+            .where("value <> ''"))
+    records = F.when(F.col("value").startswith("{"), F.array("value")).otherwise(
+        F.coalesce(F.from_json("value", "array<string>"), F.array("value")))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    each = text.select("source_file", F.explode(records).alias("record")).withColumn(
+        "row", F.from_json("record", f"{schema.strip().rstrip(',')}, {CORRUPT} STRING", options))
+    reason = (F.when(F.col("row").isNull() | F.col(f"row.{CORRUPT}").isNotNull(), "broken")
+              .when(F.col(f"row.{key}").isNull(), "no_key"))
+    return each.select("source_file", "record", F.col("row").dropFields(CORRUPT).alias("row"), reason.alias("reason"))
+
+
 def daily_path(template: str, date: str) -> str:
     """The raw file(s) of one load date, e.g.
     ``daily_path("/raw/catalogue/daily_{date}.json", "20240102")``."""
@@ -45,6 +80,24 @@ def read_silver(spark: SparkSession, root: str, schema: str | None = None) -> Da
     return df
 
 
+def read_loads(spark: SparkSession, root: str, schema: str | None = None, defaults: dict | None = None,
+               loads: list[str] | None = None) -> DataFrame:
+    """S4/S5 over loads whose columns differ: one frame, ``dt`` last and as text.
+
+    With ``schema`` its columns are read from every load (narrower numbers are widened,
+    other columns are not read); without, the loads' own schemas are merged.
+    A column that a load lacks is NULL there, and ``defaults`` fill NULLs;
+    with ``loads`` only those ``dt=`` folders are scanned.
+    """
+    r = spark.read.schema(f"{schema.strip().rstrip(',')}, dt STRING") if schema else spark.read.option("mergeSchema", "true")
+    found = r.parquet(root)
+    if loads is not None:
+        found = found.where(F.col("dt").cast("string").isin(list(loads)))
+    found = found.select(*[c for c in found.columns if c != "dt"], F.col("dt").cast("string").alias("dt"))
+    present = {k: v for k, v in (defaults or {}).items() if k in found.columns}
+    return found.na.fill(present) if present else found
+
+
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """S7."""
     return spark.read.parquet(path)

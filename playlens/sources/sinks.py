@@ -1,111 +1,86 @@
-"""Sinks and table maintenance (K1-K9): partition overwrite, gold overwrite,
-versioned snapshots with upsert, document projections, materialisation."""
+"""Sinks (K1-K4, K9): partition overwrite, file sizes, gold overwrite, and
+writes that count their rows as they write.  Keyed tables are in ``keyed.py``."""
 
 from __future__ import annotations
 
 import contextlib
-import re
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.operators.upsert import upsert
+from playlens.sources.keyed import serve_replace, serve_upsert, to_documents  # noqa: F401
+
+
+@contextlib.contextmanager
+def file_bytes(spark: SparkSession, n: int):
+    """K2: within the block, rebalanced writes aim at files of about ``n`` bytes (before compression)."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def sized(df: DataFrame, by: str | None = None) -> DataFrame:
+    """K2: rows rebalanced into files of the session's advisory size (see
+    ``file_bytes``), each ``by`` value in few files.
+
+    Adaptive execution merges small partitions and splits large or skewed ones
+    from their measured sizes, so the number of files follows the data."""
+    return df.hint("rebalance", by) if by else df.hint("rebalance")
 
 
 def write_partition(df: DataFrame, root: str, dt: str, files: int | None = None) -> str:
     """K1/K2: replace the single load partition ``dt=<dt>``, leave the others.
 
-    ``files`` sets the number of output files with a hash repartition (all
-    tasks write in parallel), rather than funnelling the load through one
-    task with ``coalesce(1)``.
+    Files follow the data's size (``sized``); ``files`` asks for that many
+    instead, dealt by a full repartition (all tasks write).
     """
-    out = df.repartition(files) if files else df
+    out = df.repartition(files) if files else sized(df)
     path = f"{root.rstrip('/')}/dt={dt}"
     out.write.mode("overwrite").parquet(path)
     return path
 
 
+def write_loads(df: DataFrame, root: str, dt_col: str = "dt") -> None:
+    """K1 for several loads at once: replaces exactly the ``dt=`` partitions that
+    ``df`` has rows for (dynamic partition overwrite)."""
+    (sized(df, by=dt_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(dt_col).parquet(root))
+
+
 def write_gold(df: DataFrame, path: str, max_records_per_file: int | None = None) -> None:
     """K4: full overwrite of a derived table."""
-    w = df.write.mode("overwrite")
+    w = sized(df).write.mode("overwrite")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(path)
 
 
-# -- versioned snapshot tables ------------------------------------------------
-#
-# A table is a folder of immutable snapshots ``v00000001``, ``v00000002`` ...;
-# a snapshot is current once Spark's ``_SUCCESS`` marker is written.  Writers
-# never overwrite a snapshot that readers may be reading, and the current
-# version is the highest committed one.
-
-_VERSION = re.compile(r"^v(\d{8})$")
-
+def write_counted(df: DataFrame, write: Callable[[DataFrame], object], counts: Mapping[str, Column],
+                  keep: Column | None = None) -> dict:
+    """Write ``df`` and return metrics of the rows taken on the way.
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+    ``counts`` are aggregates over all rows of ``df``; with ``keep`` only rows
+    for which it holds are written, so rejects are counted by the pass
+    that leaves them out.  Nothing is read a second time: the metrics ride
+    with the write (``DataFrame.observe``).  A stage that Spark runs again
+    after losing an executor counts its rows once, if the write is its last
+    stage, as here."""
+    seen = Observation()
+    rows = df.observe(seen, *[c.alias(name) for name, c in counts.items()])
+    write(rows.where(keep) if keep is not None else rows)
+    return seen.get
 
 
-def _versions(spark: SparkSession, table: str) -> list[int]:
-    fs, root, jvm = _fs(spark, table)
-    if not fs.exists(root):
-        return []
-    out = []
-    for st in fs.listStatus(root):
-        m = _VERSION.match(st.getPath().getName())
-        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(m.group(1)))
-    return sorted(out)
-
-
-def _commit(df: DataFrame, table: str, version: int) -> str:
-    """Write snapshot ``version``.  A folder left by a failed attempt has no
-    ``_SUCCESS`` and is never read, so a retry simply overwrites it."""
-    path = f"{table.rstrip('/')}/v{version:08d}"
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
-def table_exists(spark: SparkSession, table: str) -> bool:
-    return bool(_versions(spark, table))
-
-
-def read_current(spark: SparkSession, table: str) -> DataFrame:
-    """The latest committed snapshot."""
-    vs = _versions(spark, table)
-    if not vs:
-        raise FileNotFoundError(f"no committed snapshot under {table}")
-    return spark.read.parquet(f"{table.rstrip('/')}/v{vs[-1]:08d}")
-
-
-def init_table(df: DataFrame, table: str) -> str:
-    """K5: first snapshot of an upsert table."""
-    spark = df.sparkSession
-    if table_exists(spark, table):
-        raise FileExistsError(f"{table} already has snapshots")
-    return _commit(df, table, 1)
-
-
-def upsert_table(source: DataFrame, table: str, keys: list[str]) -> str:
-    """K6 as a sink: merge ``source`` into the current snapshot by ``keys`` and
-    commit the result as the next snapshot.  Creates the table when it does
-    not exist (checked explicitly, not by catching errors).  Source rows with
-    a NULL or duplicated key are rejected (see ``operators.upsert``)."""
-    spark = source.sparkSession
-    vs = _versions(spark, table)
-    if not vs:
-        return init_table(upsert(source.limit(0), source, keys), table)
-    merged = upsert(read_current(spark, table), source, keys)
-    return _commit(merged, table, vs[-1] + 1)
-
-
-def to_documents(df: DataFrame, id_col: str) -> DataFrame:
-    """P10/K7/K8: ``(doc_id string, body json)`` documents keyed by id."""
-    return df.select(F.col(id_col).cast("string").alias("doc_id"),
-                     F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("body"))
+def counted_if(cond: Column) -> Column:
+    return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
 @contextlib.contextmanager
@@ -118,14 +93,3 @@ def materialized(*frames: DataFrame):
     finally:
         for f in frames:
             f.unpersist()
-
-
-def serve_upsert(df: DataFrame, id_col: str, index_table: str) -> str:
-    """O10 (catalogue): documents keyed by ``id_col`` upserted into a
-    snapshot table; documents absent from ``df`` stay (stale docs kept)."""
-    return upsert_table(to_documents(df, id_col), index_table, ["doc_id"])
-
-
-def serve_replace(df: DataFrame, id_col: str, index_path: str) -> None:
-    """O10 (recommendations): the document set is replaced as a whole."""
-    write_gold(to_documents(df, id_col), index_path)

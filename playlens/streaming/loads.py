@@ -9,41 +9,76 @@ checkpoint is what makes a killed run resumable.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.functions.scalar import safe_ts
-from playlens.operators.engagement import valid_libraries
+from playlens.operators.engagement import library_ok
 from playlens.sources.readers import stream_raw_json
 from playlens.sources.schemas import LIBRARY_SCHEMA
 
 
-def run_available_now(sdf: DataFrame, out_dir: str, checkpoint_dir: str,
-                      partition_by: list[str] | None = None) -> int:
+#: Progress reports that a run keeps, so that its counts cover every micro-batch.
+KEPT_REPORTS = 1_000_000
+
+
+def run_counted(sdf: DataFrame, out_dir: str, checkpoint_dir: str, partition_by: list[str] | None = None,
+                counts: Mapping[str, Column] | None = None, keep: Column | None = None) -> dict:
     """K3: append a streaming frame to Parquet until the source is drained.
 
-    Returns the number of micro-batches that ran.
+    Returns ``batches`` and the sum of each of ``counts`` (aggregates over all
+    rows of a micro-batch, which ride with its write).  With ``keep``
+    only rows for which it holds are written, so what is left out can be counted by the same
+    pass.  Every micro-batch of this run is counted, however many there are.
     """
+    name, spark = "load", sdf.sparkSession
+    if counts:
+        sdf = sdf.observe(name, *[c.alias(n) for n, c in counts.items()])
+    if keep is not None:
+        sdf = sdf.where(keep)
     w = (sdf.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir)
          .outputMode("append").trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start(out_dir)
-    q.awaitTermination()
+    setting = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(KEPT_REPORTS))
+    try:
+        q = w.start(out_dir)
+        q.awaitTermination()
+    finally:
+        spark.conf.set(setting, before)
     if q.exception() is not None:
         raise q.exception()
-    return len(q.recentProgress)
+    out = {"batches": 0, **{n: 0 for n in counts or {}}}
+    for report in q.recentProgress:
+        out["batches"] += 1
+        seen = report.observedMetrics.get(name)
+        for n in counts or {}:
+            out[n] += (seen[n] or 0) if seen is not None else 0
+    return out
+
+
+def run_available_now(sdf: DataFrame, out_dir: str, checkpoint_dir: str,
+                      partition_by: list[str] | None = None) -> int:
+    """As ``run_counted``; returns the number of micro-batches that ran."""
+    return run_counted(sdf, out_dir, checkpoint_dir, partition_by)["batches"]
 
 
 def consolidate_libraries(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str,
-                          max_items: int | None = None, schema: str = LIBRARY_SCHEMA) -> int:
-    """O3: raw library files -> typed, valid libraries (stateless stream)."""
-    raw = stream_raw_json(spark, source_dir, schema)
+                          max_items: int | None = None, schema: str = LIBRARY_SCHEMA,
+                          max_files_per_trigger: int | None = None) -> dict:
+    """O3: raw library files -> typed, valid libraries (stateless stream).
+
+    Returns ``batches``, ``read`` and ``rejected`` records, counted as they are written.
+    """
+    raw = stream_raw_json(spark, source_dir, schema, max_files_per_trigger)
     shaped = raw.select("steam_id", safe_ts("scraped_at").alias("scraped_at"), "games")
-    return run_available_now(valid_libraries(shaped, "steam_id", "games", max_items), out_dir,
-                             checkpoint_dir)
+    ok = library_ok("steam_id", "games", max_items)
+    return run_counted(shaped, out_dir, checkpoint_dir, keep=ok, counts={
+        "read": F.count(F.lit(1)), "rejected": F.count_if(~F.coalesce(ok, F.lit(False)))})
 
 
 def load_batches(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str,

@@ -1,12 +1,14 @@
+import glob
 import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from playlens.operators import frontier as fr
-from playlens.operators.upsert import rejected, upsert
-from playlens.sources import sinks
+from playlens.operators.upsert import merge_rows, refused_keys, rejected, upsert
+from playlens.sources import keyed, sinks
 from tests.conftest import rows
 
 T = "id long, v string"
@@ -21,14 +23,54 @@ def test_upsert_semantics(spark):
     assert rows(upsert(out, source, ["id"])) == rows(out)          # idempotent
 
 
-def test_snapshot_table_upserts(spark):
-    root = tempfile.mkdtemp(prefix="pl-table-")
-    table = os.path.join(root, "items")
-    assert not sinks.table_exists(spark, table)
-    sinks.upsert_table(spark.createDataFrame([(1, "a"), (2, "b")], T), table, ["id"])
-    sinks.upsert_table(spark.createDataFrame([(2, "B"), (3, "c")], T), table, ["id"])
-    assert rows(sinks.read_current(spark, table)) == [(1, "a"), (2, "B"), (3, "c")]
-    assert sorted(os.listdir(table)) == ["v00000001", "v00000002"]
+def test_merge_rows_status(spark):
+    target = spark.createDataFrame([(1, "old"), (2, "keep"), (4, "held"), (None, "odd")], T)
+    source = spark.createDataFrame([(1, "new"), (3, "ins"), (None, "x"), (None, "y"), (4, "d1"), (4, "d2"), (5, "e"), (5, "e")], T)
+    merged = merge_rows(target, source, ["id"])
+    got = [(r.status, r.n_source, r.key.id if r.key else None, tuple(r.row) if r.row else None) for r in merged.collect()]
+    assert sorted(got, key=repr) == sorted([
+        ("updated", 1, 1, (1, "new")), ("kept", 0, None, (2, "keep")), ("kept", 0, None, (None, "odd")),
+        ("inserted", 1, 3, (3, "ins")), ("null_key", 2, None, None),
+        ("duplicate_key", 2, 4, (4, "held")), ("duplicate_key", 2, 5, None)], key=repr)
+    assert rows(refused_keys(merged)) == [(4, "duplicate_key", 2), (5, "duplicate_key", 2), (None, "null_key", 2)]
+
+
+def _files(path):
+    return {f: os.path.getmtime(f) for f in glob.glob(os.path.join(path, "*", "*.parquet"))}
+
+
+def test_keyed_table_rewrites_only_what_changes(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="pl-table-"), "items")
+    assert not keyed.table_exists(spark, path)
+    first = spark.range(1000).select("id", F.lit("a").alias("v"))
+    assert keyed.upsert_keyed(first, path, ["id"], buckets=16).count() == 0
+    before = _files(path)
+    assert len({os.path.dirname(f) for f in before}) == 16
+    refused = keyed.upsert_keyed(spark.createDataFrame([(3, "B"), (2000, "new"), (7, "x"), (7, "y")], T), path, ["id"])
+    assert rows(refused) == [(7, "duplicate_key", 2)]
+    kept = set(before) & set(_files(path))
+    assert {os.path.dirname(f) for f in set(before) - kept} <= {os.path.dirname(f) for f in before}
+    assert 14 <= len({os.path.dirname(f) for f in kept}) < 16            # at most two buckets were rewritten
+    now = {r.id: r.v for r in keyed.read_keyed(spark, path).collect()}
+    assert len(now) == 1001 and now[3] == "B" and now[2000] == "new" and now[7] == "a" and now[999] == "a"
+    # only refused keys: nothing is written
+    before = _files(path)
+    keyed.upsert_keyed(spark.createDataFrame([(None, "x")], T), path, ["id"])
+    assert _files(path) == before
+    with pytest.raises(Exception):
+        keyed.init_keyed(first, path, ["id"])
+
+
+def test_served_documents(spark):
+    root = tempfile.mkdtemp(prefix="pl-docs-")
+    path, other = os.path.join(root, "kept"), os.path.join(root, "replaced")
+    one, two = spark.createDataFrame([(1, "a"), (2, "b")], T), spark.createDataFrame([(2, "B"), (3, "c")], T)
+    for df in (one, two):
+        keyed.serve_upsert(df, "id", path, buckets=4)
+        keyed.serve_replace(df, "id", other)
+    body = {r.doc_id: json.loads(r.body)["v"] for r in keyed.read_keyed(spark, path).collect()}
+    assert body == {"1": "a", "2": "B", "3": "c"}                        # the stale document stays
+    assert rows(spark.read.parquet(other), "doc_id") == [("2",), ("3",)]
 
 
 def test_write_partition_and_documents(spark):
@@ -55,18 +97,6 @@ def test_bfs_processes_each_node_once(spark):
     assert rows(one, "node", "status") == [("a", "processed"), ("b", "queued")]
 
 
-def test_snapshot_retry_after_failed_write(spark):
-    root = tempfile.mkdtemp(prefix="pl-retry-")
-    table = os.path.join(root, "items")
-    sinks.upsert_table(spark.createDataFrame([(1, "a")], T), table, ["id"])
-    os.makedirs(os.path.join(table, "v00000002"))           # a crashed attempt: no _SUCCESS
-    with open(os.path.join(table, "v00000002", "part-0.parquet"), "w") as f:
-        f.write("garbage")
-    assert rows(sinks.read_current(spark, table)) == [(1, "a")]   # uncommitted folder ignored
-    sinks.upsert_table(spark.createDataFrame([(2, "b")], T), table, ["id"])
-    assert rows(sinks.read_current(spark, table)) == [(1, "a"), (2, "b")]
-
-
 def test_as_of_prunes_load_partitions(spark):
     from playlens.operators.resolve import as_of_filter
     from playlens.sources.readers import read_silver
