@@ -12,8 +12,10 @@ frequent phrase has then been counted, exactly, whatever the sample was.
 
 The proposed phrases reach the tasks as bit maps of bounded size.  A bit that
 is set by chance lets a phrase be counted that need not be, and changes no
-result.  Tasks work on words as numbers, block by block, and send the counts
-of a block on; Spark sums them by phrase.
+result.  These passes count hashes of phrases: two phrases with one hash can
+only count as more, so none is missed.  A last pass counts the texts of the phrases
+found, which makes the counts exact.  Tasks work on words as numbers, block by
+block, and send the counts of a block on; Spark sums them.
 """
 
 from __future__ import annotations
@@ -52,21 +54,6 @@ def _hash_words(words: list[bytes], lang: str) -> np.ndarray:
     return np.array([h(w, seed) for w in words], dtype=np.uint64)
 
 
-def _hash_phrases(langs: list[str], phrases: list[str]) -> np.ndarray:
-    """Hashes of phrases of one or two words."""
-    out = np.zeros(len(phrases), dtype=np.uint64)
-    by: dict[str, list[int]] = {}
-    for i, lang in enumerate(langs):
-        by.setdefault(lang, []).append(i)
-    for lang, at in by.items():
-        parts = [phrases[i].encode().split(b" ") for i in at]
-        first = _hash_words([p[0] for p in parts], lang)
-        two = np.array([len(p) == 2 for p in parts], dtype=bool)
-        last = _hash_words([p[-1] for p in parts], lang)
-        out[at] = np.where(two, _mix(first, last), first)
-    return out
-
-
 def _places(h: np.ndarray, bits: int) -> list[np.ndarray]:
     return [h & np.uint64(bits - 1), (h >> np.uint64(32)) & np.uint64(bits - 1)]
 
@@ -79,16 +66,20 @@ def _within(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     return out
 
 
-def _bitmap(phrases: DataFrame, bits: int) -> np.ndarray:
-    """Bit map of ``(lang, phrase)``: tasks set the bits of a stretch each, the
-    driver puts the stretches together (``bits`` / 8 bytes)."""
+def _bitmap(hashes: DataFrame, bits: int, without: np.ndarray | None = None) -> np.ndarray:
+    """Bit map of the column ``h``, of hashes that ``without`` doesn't hold: tasks
+    set the bits of a stretch each, the driver puts the stretches together
+    (``bits`` / 8 bytes)."""
     import pyarrow as pa
 
     stretch = max(bits // 256, 8)
+    held = None if without is None else hashes.sparkSession.sparkContext.broadcast(without)
 
     def spread(batches):
         for b in batches:
-            h = _hash_phrases(b.column(0).to_pylist(), b.column(1).to_pylist())
+            h = b.column(0).to_numpy().view(np.uint64)
+            if held is not None:
+                h = h[~_within(held.value, h)]
             p = np.unique(np.concatenate(_places(h, bits))).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(p // stretch, pa.int64()), pa.array(p % stretch, pa.int32())], ["s", "p"])
 
@@ -102,7 +93,7 @@ def _bitmap(phrases: DataFrame, bits: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()),
                                           pa.array([x.tobytes() for x in held.values()], pa.binary())], ["s", "bytes"])
 
-    rows = (phrases.select("lang", "phrase").mapInArrow(spread, "s long, p int")
+    rows = (hashes.select("h").mapInArrow(spread, "s long, p int")
             .repartition("s").mapInArrow(gather, "s long, bytes binary").collect())
     out = np.zeros(bits // 8, dtype=np.uint8)
     for r in rows:
@@ -125,97 +116,132 @@ class Border:
         self.words, self.pairs, self.old_words, self.old_pairs = words, pairs, old_words, old_pairs
 
 
-def _count_block(texts: list[str], lang: str, border: Border | None, levels: tuple):
-    """(level, phrases as Arrow strings, counts) of a block of texts of one
-    language; level 0 counts all words together."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    words = b" . ".join([t.encode().translate(_FORM).replace(b".", b" . ") for t in texts]).split()
-    known = dict.fromkeys(words)
-    known[b"."] = None
-    names = list(known)
-    known = {w: i for i, w in enumerate(names)}
-    ids = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
-    mark, n = known[b"."], len(known)
-    del words, known
-    text = pa.array(names, pa.binary()).cast(pa.string())
+class Block:
+    """The words of a block of texts of one language as numbers, with their hashes."""
+
+    def __init__(self, texts: list[str], lang: str):
+        words = b" . ".join([t.encode().translate(_FORM).replace(b".", b" . ") for t in texts]).split()
+        known = dict.fromkeys(words)
+        known[b"."] = None
+        self.names = list(known)
+        known = {w: i for i, w in enumerate(self.names)}
+        self.ids = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+        self.n, mark = len(known), known[b"."]
+        self.h = _hash_words(self.names, lang)
+        self.counts = np.bincount(self.ids, minlength=self.n)
+        self.counts[mark] = 0
+        a, b = self.ids[:-1], self.ids[1:]
+        self.inside = (a != mark) & (b != mark)  # whether two words follow each other in a piece
+        self.code = a * self.n + b
+
+    def pairs(self, take: np.ndarray) -> tuple:
+        """(first words, second words, counts) of the pairs that start at ``take``."""
+        pair, c = np.unique(self.code[take], return_counts=True)
+        return pair // self.n, pair % self.n, c
+
+    def triples(self, take: np.ndarray) -> tuple:
+        """As ``pairs``, of three words."""
+        at = np.flatnonzero(take)
+        # number the pairs of this block, so that two numbers name three words
+        firsts, first = np.unique(self.code[:-1][at], return_inverse=True)
+        three, c = np.unique(first * self.n + self.ids[2:][at], return_counts=True)
+        front = firsts[three // self.n]
+        return front // self.n, front % self.n, three % self.n, c
+
+
+def _by_language(batches):
+    """Blocks of the texts of a task, by language."""
+    for batch in batches:
+        for b in in_blocks(batch, 1, BLOCK):
+            by: dict[str, list[str]] = {}
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                by.setdefault(lang, []).append(text)
+            for lang, texts in by.items():
+                yield lang, Block(texts, lang)
+
+
+def _hashed_counts(block: Block, border: Border | None, levels: tuple):
+    """(level, hashes, counts) of the phrases of a block that the border lets in."""
+    h, ids = block.h, block.ids
     if 1 in levels:
-        c = np.bincount(ids, minlength=n)
-        c[mark] = 0
-        yield 0, pa.array([""], pa.string()), np.array([c.sum()])
-        at = np.flatnonzero(c)
-        yield 1, text.take(pa.array(at)), c[at]
+        at = np.flatnonzero(block.counts)
+        yield 1, h[at], block.counts[at]
     if border is None or len(ids) < 2:
         return
-    h = _hash_words(names, lang)
-    # pairs: both words proposed, and not so before the last pass
-    now = _within(border.words, h)
-    inside = (ids[:-1] != mark) & (ids[1:] != mark)
-    code = ids[:-1] * n + ids[1:]
     if 2 in levels:
-        take = inside & now[ids[:-1]] & now[ids[1:]]
+        now = _within(border.words, h)
+        take = block.inside & now[ids[:-1]] & now[ids[1:]]
         if border.old_words is not None:
             old = _within(border.old_words, h)
             take &= ~(old[ids[:-1]] & old[ids[1:]])
-        pair, c = np.unique(code[take], return_counts=True)
-        if len(pair):
-            yield 2, pc.binary_join_element_wise(text.take(pa.array(pair // n)), text.take(pa.array(pair % n)), " "), c
+        a, b, c = block.pairs(take)
+        yield 2, _mix(h[a], h[b]), c
     if 3 in levels and border.pairs is not None:
         both = _mix(h[ids[:-1]], h[ids[1:]])
-        now = inside & _within(border.pairs, both)
+        now = block.inside & _within(border.pairs, both)
         take = now[:-1] & now[1:]
         if border.old_pairs is not None:
-            old = inside & _within(border.old_pairs, both)
+            old = block.inside & _within(border.old_pairs, both)
             take &= ~(old[:-1] & old[1:])
-        at = np.flatnonzero(take)
-        if len(at):
-            # number the pairs of this block, so that two numbers name three words
-            firsts, first = np.unique(code[:-1][at], return_inverse=True)
-            three, c = np.unique(first * n + ids[2:][at], return_counts=True)
-            front = firsts[three // n]
-            yield 3, pc.binary_join_element_wise(text.take(pa.array(front // n)), text.take(pa.array(front % n)),
-                                                 text.take(pa.array(three % n)), " "), c
+        a, b, c, n = block.triples(take)
+        yield 3, _mix(_mix(h[a], h[b]), h[c]), n
 
 
-def count_phrases(docs: DataFrame, border: Border | None, levels: tuple, least: int) -> DataFrame:
-    """``(lang, k, phrase, f)``: exact counts of the phrases that the border lets in, if at least ``least``.
+def count_hashes(docs: DataFrame, border: Border | None, levels: tuple, least: int) -> DataFrame:
+    """``(k, h, f)``: how often the phrases that the border lets in occur, by hash, if at least ``least`` times.
 
-    ``docs`` has ``lang`` and ``text`` without nulls."""
+    ``docs`` has ``lang`` and ``text`` without nulls; a phrase's language is part of its hash."""
     import pyarrow as pa
 
     held = docs.sparkSession.sparkContext.broadcast(border)
 
     def run(batches):
-        border = held.value
-        for batch in batches:
-            for b in in_blocks(batch, 1, BLOCK):
-                by: dict[str, list[str]] = {}
-                for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    by.setdefault(lang, []).append(text)
-                for lang, texts in by.items():
-                    for k, phrases, counts in _count_block(texts, lang, border, levels):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(phrases), pa.string()), pa.array(np.full(len(phrases), k), pa.int32()),
-                             phrases, pa.array(counts, pa.int64())], ["lang", "k", "phrase", "f"])
+        for _, block in _by_language(batches):
+            for k, hashes, counts in _hashed_counts(block, held.value, levels):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), k), pa.int32()),
+                                                  pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())], ["k", "h", "f"])
+
+    return (docs.select("lang", "text").mapInArrow(run, "k int, h long, f long")
+            .groupBy("k", "h").agg(F.sum("f").alias("f")).where(F.col("f") >= least))
 
-    return (docs.select("lang", "text").mapInArrow(run, "lang string, k int, phrase string, f long")
-            .groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
-            .where((F.col("k") == 0) | (F.col("f") >= least)))
 
+def count_texts(docs: DataFrame, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, least: int) -> DataFrame:
+    """``(lang, k, phrase, f)`` of the phrases in the bit maps, if at least ``least``; ``k`` = 0 counts all words.
 
-def _outside(phrases: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """The ``(lang, phrase)`` rows that a bit map doesn't hold."""
+    Phrases are counted by their text, so two with one hash are told apart."""
     import pyarrow as pa
+    import pyarrow.compute as pc
 
-    held = phrases.sparkSession.sparkContext.broadcast(bitmap)
+    held = docs.sparkSession.sparkContext.broadcast((words, pairs, triples))
+
+    def found(block):
+        words, pairs, triples = held.value
+        h, ids = block.h, block.ids
+        text = pa.array(block.names, pa.binary()).cast(pa.string())
+        yield 0, pa.array([""], pa.string()), np.array([block.counts.sum()])
+        at = np.flatnonzero((block.counts > 0) & _within(words, h))
+        yield 1, text.take(pa.array(at)), block.counts[at]
+        if len(ids) < 2:
+            return
+        both = _mix(h[ids[:-1]], h[ids[1:]])
+        take = block.inside & _within(pairs, both)
+        a, b, n = block.pairs(take)
+        yield 2, pc.binary_join_element_wise(text.take(pa.array(a)), text.take(pa.array(b)), " "), n
+        take = take[:-1] & take[1:]
+        take[take] = _within(triples, _mix(both[:-1][take], h[ids[2:][take]]))
+        a, b, c, n = block.triples(take)
+        yield 3, pc.binary_join_element_wise(text.take(pa.array(a)), text.take(pa.array(b)), text.take(pa.array(c)), " "), n
 
     def run(batches):
-        for b in batches:
-            inside = _within(held.value, _hash_phrases(b.column(0).to_pylist(), b.column(1).to_pylist()))
-            yield b.filter(pa.array(~inside))
+        for lang, block in _by_language(batches):
+            for k, phrases, counts in found(block):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(phrases), pa.string()), pa.array(np.full(len(phrases), k), pa.int32()),
+                     phrases, pa.array(counts, pa.int64())], ["lang", "k", "phrase", "f"])
 
-    return phrases.select("lang", "phrase").mapInArrow(run, "lang string, phrase string")
+    return (docs.select("lang", "text").mapInArrow(run, "lang string, k int, phrase string, f long")
+            .groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
+            .where((F.col("k") == 0) | (F.col("f") >= least)))
 
 
 def frequent_phrases(docs: DataFrame, least: int = 10, sample: float = SAMPLE, lowered: int = LOWERED) -> DataFrame:
@@ -227,27 +253,25 @@ def frequent_phrases(docs: DataFrame, least: int = 10, sample: float = SAMPLE, l
     # a row's own hash decides, so the sample is the same whenever it is read
     share = docs.where(F.pmod(F.xxhash64("lang", "text", "salt"), F.lit(1000)) < int(1000 * sample))
     docs = docs.select("lang", "text")
-    words = materialize(count_phrases(share, None, (1,), lowered).where("k = 1"), "sample-words")
+    words = materialize(count_hashes(share, None, (1,), lowered), "sample-words")
     # the sample's numbers say how large the maps of the whole will be
-    bits = _size_for(int(2 * words.count()))
+    bits = _size_for(2 * words.count())
     proposed = _bitmap(words, bits)
-    pairs = materialize(count_phrases(share, Border(proposed, None), (2,), lowered), "sample-pairs")
-    bits2 = _size_for(int(2 * pairs.count()))
+    pairs = materialize(count_hashes(share, Border(proposed, None), (2,), lowered), "sample-pairs")
+    bits2 = _size_for(2 * pairs.count())
     border = Border(proposed, _bitmap(pairs, bits2))
-    found = [materialize(count_phrases(docs, border, (1, 2, 3), least), "counts")]
+    found = last = materialize(count_hashes(docs, border, (1, 2, 3), least), "counts")
     while True:
-        last = found[-1]
-        more_words = _bitmap(_outside(last.where("k = 1"), border.words), bits)
-        more_pairs = _bitmap(_outside(last.where("k = 2"), border.pairs), bits2)
+        more_words = _bitmap(last.where("k = 1"), bits, without=border.words)
+        more_pairs = _bitmap(last.where("k = 2"), bits2, without=border.pairs)
         if not more_words.any() and not more_pairs.any():
             break
         border = Border(border.words | more_words, border.pairs | more_pairs, border.words, border.pairs)
         levels = ((2,) if more_words.any() else ()) + ((3,) if more_pairs.any() else ())
-        found.append(materialize(count_phrases(docs, border, levels, least), "counts"))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
+        last = materialize(count_hashes(docs, border, levels, least), "counts")
+        found = found.unionByName(last)
+    maps = [_bitmap(found.where(F.col("k") == k), _size_for(found.where(F.col("k") == k).count())) for k in (1, 2, 3)]
+    return count_texts(docs, *maps, least)
 
 
 def collocations(docs: DataFrame, least: int = 10, keep_share: int = 50, top: int = 2000,
