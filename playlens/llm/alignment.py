@@ -25,17 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.llm.common import free_name, heavy_lookup, map_rows, materialize, pick
-from playlens.llm.tokens import CutTokenizer, _CUT, _UNSAFE
+from playlens.llm.tokens import _CUT, _UNSAFE, CutTokenizer
 
 #: Text bytes that are worked on as one block of arrays.
 BLOCK = 1 << 20
 #: Pieces of text that a worker remembers (twice as many while the older ones go), and the longest.
 KNOWN, KNOWN_CHARS = 200_000, 64
 
-#: A part that both vocabularies cut from its neighbours when single spaces join them.
-_PLAIN = re.compile(r"(?s)[!-~¡-ᙿ、-퟿](?:.*[!-~¡-ᙿ、-퟿])?")
-
-
 def divide(ea: np.ndarray, eb: np.ndarray, lo, hi, lob, hib) -> tuple:
     """Leaf groups of the intervals A[lo:hi] / B[lob:hib].
 
@@ -87,7 +83,7 @@ class Pair:
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
 
-        self.a = CutTokenizer(a_path)
+        self.a = CutTokenizer(a_path, plain=True)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         entries = json.loads(self.a.tok.to_str())["model"]["vocab"]
         byte = {c: b for b, c in self.a.letters.items()} | {chr(b): b for b in range(256) if b not in self.a.letters}
@@ -111,33 +107,16 @@ class Pair:
         self.known: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
 
-    def _one(self, part: str) -> tuple:
-        """(ids of A, ids of B, bytes equal) of a part with a space before it."""
-        x = np.frombuffer(self.a.encode([" " + part])[0], dtype="<u4")
-        y = np.array(self.b.encode(part, num_threads=1), dtype="<u4")
-        want = (" " + part).encode()
-        same = (b"".join([self.a_bytes[i] for i in x.tolist()]) == want
-                and b"".join([self.b_bytes[i] for i in y.tolist()]) == want)
-        return x.tobytes(), y.tobytes(), same
-
     def _encode(self, parts: list[str]) -> list[tuple]:
-        """``_one`` of each part.  Parts that may stand beside a space are
-        encoded as one text and taken apart at their ends."""
-        out: dict[str, tuple] = {}
-        plain = [p for p in parts if _PLAIN.fullmatch(p)]
-        if plain:
-            want = (" " + " ".join(plain)).encode()
-            ends = np.cumsum([1 + len(p.encode()) for p in plain])
-            whole = self.a.tok.encode_batch_fast([want.decode()], add_special_tokens=False)[0].ids
-            ids = np.array(whole, dtype="<u4")
-            at = np.cumsum(self.a_len[ids])
-            k = np.minimum(np.searchsorted(at, ends), len(at) - 1)
-            b = self.b.encode(plain, num_threads=1)
-            if ((at[k] == ends).all() and b"".join([self.a_bytes[i] for i in whole]) == want
-                    and b"".join([self.b_bytes[i] for x in b for i in x]) == want):
-                raw, stop = ids.tobytes(), (4 * (k + 1)).tolist()
-                out = {p: (raw[i:j], np.array(x, dtype="<u4").tobytes(), True) for p, i, j, x in zip(plain, [0, *stop], stop, b)}
-        return [out.get(p) or self._one(p) for p in parts]
+        """(ids of A, ids of B, bytes equal) of parts, each with a space before it."""
+        a = self.a.ids([" " + p for p in parts])
+        out = []
+        for p, y in zip(parts, self.b.encode(parts, num_threads=1) if parts else ()):
+            x, want = a[" " + p], (" " + p).encode()
+            same = (b"".join([self.a_bytes[i] for i in np.frombuffer(x, dtype="<u4").tolist()]) == want
+                    and b"".join([self.b_bytes[i] for i in y]) == want)
+            out.append((x, np.array(y, dtype="<u4").tobytes(), same))
+        return out
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """Ids of space + text by A and B; nothing where the bytes differ."""
@@ -165,7 +144,7 @@ class Pair:
             except KeyError:
                 got = [known.get(c) or extra[c] for c in parts]
             if not all([g[2] for g in got]):
-                whole = self._one(text)
+                whole = self._encode([text])[0]
                 out.append(whole[:2] if whole[2] else (b"", b""))
             else:
                 out.append((b"".join([g[0] for g in got]), b"".join([g[1] for g in got])))

@@ -33,7 +33,7 @@ SAMPLE, LOWERED = 0.3, 2
 #: Bits of a map per phrase, and bounds of a map's size (bits, powers of two).
 BITS, LEAST, MOST = 16, 1 << 16, 1 << 28
 #: Bytes of text that are counted as one block.
-BLOCK = 1 << 20
+BLOCK = 2 << 20
 
 #: Letters A-Z lowered, and every mark that ends a piece as a full stop.
 _FORM = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz.........")

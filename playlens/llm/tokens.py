@@ -4,8 +4,8 @@ A byte-level BPE splits text into pieces before merging.  A single space
 between two visible characters always starts a new piece, so a text may be
 cut there and the cuts encoded on their own: the ids of the cuts, put
 together, are the ids of the text.  Words repeat, so each worker keeps the
-ids of the cuts it has seen (at most ``CACHE`` of them; beyond that the
-memory is started afresh, which changes speed only).  Texts with other white
+ids of the cuts it has seen last (about ``CACHE`` of them; the limit changes
+speed only), and new cuts are encoded many at a time.  Texts with other white
 space beside a space are cut only where the rule holds.
 """
 
@@ -13,16 +13,20 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 
-CACHE = 600_000
+import numpy as np
+
+#: Cuts that a worker remembers (twice as many while the older ones go), and the longest, in characters.
+CACHE, CACHE_CHARS = 400_000, 64
 # a space is a safe cut only between these: letters, digits, marks that no
 # engine counts as white space
 _UNSAFE = re.compile(r" [^!-~¡-ᙿ、-퟿]|[^!-~¡-ᙿ、-퟿] |^ | $")
 _CUT = re.compile(r"(?<=[!-~¡-ᙿ、-퟿])(?= [!-~¡-ᙿ、-퟿])")
-# a word of Latin letters and the marks after it: two pieces of the vocabulary's rule
-_WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-_INSTANCES: dict[str, "CutTokenizer"] = {}
+# what may stand between two spaces that are safe cuts
+PLAIN = re.compile(r"(?s)[!-~¡-ᙿ、-퟿](?:.*[!-~¡-ᙿ、-퟿])?")
+# a word of Latin letters and the marks after it, two pieces of the vocabulary's rule
+_WORD = re.compile(r"( [A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+_INSTANCES: dict[tuple, "CutTokenizer"] = {}
 
 
 def tokenizer_file(name: str) -> str:
@@ -38,70 +42,105 @@ def default_path() -> str:
 
 
 class CutTokenizer:
-    """Encode texts by cuts; ids equal ``Tokenizer.encode`` on the whole text."""
+    """Encode texts by cuts; ids equal ``Tokenizer.encode`` on the whole text
+    without special tokens around it.
+
+    The strings of the vocabulary's added tokens stand for those tokens where a
+    text has them, as in the library; with ``plain`` they are ordinary text.
+    """
 
-    def __init__(self, path: str, cache: int = CACHE):
+    def __init__(self, path: str, cache: int = CACHE, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings are ordinary text
+        self.tok.encode_special_tokens = plain
+        added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added and not plain else None
         self.cache = cache
         self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         # the letter that a byte-level vocabulary writes for each byte
-        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        rest = [b for b in range(256) if b not in plain]
+        visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        rest = [b for b in range(256) if b not in visible]
         self.letters = {b: chr(256 + i) for i, b in enumerate(rest)}
-
-    def _piece(self, mapped: str) -> bytes:
-        got = self.pieces.get(mapped)
-        if got is None:
-            got = self.pieces[mapped] = array("I", [t.id for t in self.tok.model.tokenize(mapped)]).tobytes()
-        return got
-
-    def _learn(self, cuts: list[str]) -> None:
-        """Ids of new cuts: a word of Latin letters with the marks after it is parted
-        at once, other cuts by the vocabulary's own rule."""
-        part, piece, letters = self.tok.pre_tokenizer.pre_tokenize_str, self._piece, self.letters
+        # bytes of each id: one letter a byte
+        vocabulary = self.tok.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)
+
+    def _each(self, cuts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(cuts, add_special_tokens=False)]
+
+    def ids(self, cuts: list[str]) -> dict[str, bytes]:
+        """Ids of different cuts.  A word is parted from the marks after it, and
+        what may stand behind each other is encoded as one text, which is taken
+        apart at its ends."""
+        known, parted, marks = self.known, {}, self.marks
         for c in cuts:
             m = _WORD.fullmatch(c)
             if m:
-                word, marks = m.groups()
-                ids = piece(word.encode().decode("latin-1").translate(letters))
-                self.known[c] = ids + piece(marks) if marks else ids
-            else:
-                self.known[c] = b"".join([piece(m) for m, _ in part(c)])
+                parted[c] = m.groups()
+        words = {w for w, _ in parted.values() if w not in known}
+        words.update([c for c in cuts if c not in parted])
+        new_marks = list({m for _, m in parted.values() if m not in marks})
+        if len(marks) + len(new_marks) > self.cache:
+            marks.clear()
+            new_marks = list({m for _, m in parted.values()})
+        marks.update(zip(new_marks, self._each(new_marks)) if new_marks else ())
+        out = {}
+        row = [c for c in words if c[:1] == " " and PLAIN.fullmatch(c, 1)]
+        if row:
+            ends = np.cumsum([len(c.encode()) for c in row])
+            ids = np.array(self.tok.encode_batch_fast(["".join(row)], add_special_tokens=False)[0].ids, dtype="<u4")
+            at = np.cumsum(self.sizes[ids])
+            k = np.minimum(np.searchsorted(at, ends), len(at) - 1)
+            if (at[k] == ends).all():
+                raw, stop = ids.tobytes(), (4 * (k + 1)).tolist()
+                out = {c: raw[i:j] for c, i, j in zip(row, [0, *stop], stop)}
+        rest = [c for c in words if c not in out]
+        out.update(zip(rest, self._each(rest)) if rest else ())
+        for c, (word, after) in parted.items():
+            out[c] = (out[word] if word in out else known[word]) + marks[after]
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; a null
         or empty text has none."""
-        out = []
-        for text in texts:
-            if not text:
-                out.append(b"")
-                continue
-            if _UNSAFE.search(text):
-                cuts = _CUT.split(text)
+        whole = {i: t for i, t in enumerate(texts) if t and self.added and self.added.search(t)}
+        cuts = []
+        for i, text in enumerate(texts):
+            if not text or i in whole:
+                cuts.append([])
+            elif _UNSAFE.search(text) or "\0" in text:
+                cuts.append(_CUT.split(text))
             else:
-                cuts = text.replace(" ", "\0 ").split("\0") if "\0" not in text else _CUT.split(text)
+                cuts.append(text.replace(" ", "\0 ").split("\0"))
+        if len(self.known) > self.cache:
+            self.known, self.older = {}, self.known
+        known, older, extra = self.known, self.older, {}
+        new = {c for parts in cuts for c in parts if c not in known}
+        known.update([(c, older[c]) for c in new if c in older])
+        for c, raw in self.ids([c for c in new if c not in known]).items():
+            (known if len(c) <= CACHE_CHARS else extra)[c] = raw
+        out = []
+        for parts in cuts:
             try:
-                out.append(b"".join(map(self.known.__getitem__, cuts)))
-                continue
+                out.append(b"".join(map(known.__getitem__, parts)))
             except KeyError:
-                pass
-            if len(self.known) > self.cache:
-                self.known, self.pieces = {}, {}
-            self._learn(list({c for c in cuts if c not in self.known}))
-            out.append(b"".join(map(self.known.__getitem__, cuts)))
+                out.append(b"".join([known[c] if c in known else extra[c] for c in parts]))
+        for i, raw in zip(whole, self._each(list(whole.values())) if whole else ()):
+            out[i] = raw
         return out
 
 
-def tokenizer(path: str) -> CutTokenizer:
+def tokenizer(path: str, plain: bool = False) -> CutTokenizer:
     """The worker's tokenizer for a vocabulary file (one per process)."""
-    if path not in _INSTANCES:
-        _INSTANCES[path] = CutTokenizer(path)
-    return _INSTANCES[path]
+    if (path, plain) not in _INSTANCES:
+        _INSTANCES[path, plain] = CutTokenizer(path, plain=plain)
+    return _INSTANCES[path, plain]
 
 
 def vocabulary_size(path: str) -> int:

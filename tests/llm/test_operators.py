@@ -16,7 +16,7 @@ from playlens.llm.decontaminate import mark_contamination
 from playlens.llm.license_scan import scan_licenses
 from playlens.llm.queries import ORACLE, QUERIES
 from playlens.llm.sharding import shuffle_into_shards
-from playlens.llm.tokens import default_path, tokenizer, vocabulary_size
+from playlens.llm.tokens import CutTokenizer, default_path, tokenizer, vocabulary_size
 from playlens.llm.vector_dedup import vector_dedup
 from tests.conftest import SF_SMALL
 
@@ -64,12 +64,21 @@ def union(n, links):
 
 
 def test_tokens_equal_the_library(docs):
-    tok = tokenizer(default_path())
-    odd = ["a  b \n c\td ", " lead", "trail  ", " ", "a\0b", "it's  \r\n ok", "日本 語 text", "<|endoftext|> a", "é ́x", "🙂 🙂"]
+    from tokenizers import Tokenizer
+
+    tok, fresh = tokenizer(default_path()), Tokenizer.from_file(default_path())
+    odd = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y z", "a  b \n c\td ", " lead", "trail  ", " ", "a\0b", "it's  \r\n ok", "日本 語 text", "<|endoftext|> a", "é ́x", "🙂 🙂"]
     texts = odd + [t for _, t in texts_of(docs) if t]
-    want = [e.ids for e in tok.tok.encode_batch(texts, add_special_tokens=False)]
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
     assert [np.frombuffer(b, "<u4").tolist() for b in tok.encode(texts)] == want
     assert tok.encode([None, ""]) == [b"", b""]
+    plain = tokenizer(default_path(), plain=True)
+    fresh.encode_special_tokens = True
+    assert np.frombuffer(plain.encode(odd[:1])[0], "<u4").tolist() == fresh.encode(odd[0], add_special_tokens=False).ids
+    # a small memory changes nothing
+    small = CutTokenizer(default_path(), cache=50)
+    assert [small.encode([t])[0] for t in texts] == tok.encode(texts) and len(small.known) + len(small.older) < 50_000
 
 
 def test_simhash(docs, none):
