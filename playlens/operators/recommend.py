@@ -60,7 +60,7 @@ def cohort_scores(interactions: DataFrame, labelled: DataFrame, user: str = "ste
                   item: str = "steam_appid", name: str = "game_name",
                   score: str = "implicit_preference_score", cohort: str = "cohort_id",
                   min_score: float = 10.0, max_share: float = 0.20,
-                  exponent: float = 1.2, with_names: bool = True) -> DataFrame:
+                  exponent: float = 1.2, with_names: bool = True, unique_pairs: bool = False) -> DataFrame:
     """J10, A13-A15, F10, F11, J11, X9 per (cohort, item)::
 
         cohort_score = sum of affinity of the cohort's users
@@ -74,11 +74,14 @@ def cohort_scores(interactions: DataFrame, labelled: DataFrame, user: str = "ste
     A user is in one cohort at most, so an item's users and score are the sums
     over its cohorts (users without a cohort form one more): interactions are
     aggregated once, and the window holds one row per cohort of an item.
+    ``unique_pairs`` says that a user has at most one interaction with an item;
+    otherwise a user's interactions with an item are added up first.
     """
     inter = interactions.select(user, item, score)
     joined = inter.join(labelled.select(user, cohort), user, "left")
-    per_pair = joined.groupBy(user, cohort, item).agg(F.sum(score).alias("_s"))
-    per_cohort = per_pair.groupBy(cohort, item).agg(F.sum("_s").alias("cohort_score"), F.count(F.lit(1)).alias("_u"))
+    if not unique_pairs:
+        joined = joined.groupBy(user, cohort, item).agg(F.sum(score).alias(score))
+    per_cohort = joined.groupBy(cohort, item).agg(F.sum(score).alias("cohort_score"), F.count(F.lit(1)).alias("_u"))
     per_item = Window.partitionBy(item)
     pop = (per_cohort.withColumn("user_count", F.sum("_u").over(per_item))
            .withColumn("global_score", F.sum("cohort_score").over(per_item)).drop("_u"))
@@ -103,7 +106,7 @@ def recommend(interactions: DataFrame, labelled: DataFrame, owned: DataFrame | N
               score: str = "implicit_preference_score", cohort: str = "cohort_id",
               min_score: float = 10.0, max_share: float = 0.20, exponent: float = 1.2,
               per_cohort: int = 30, per_user: int = 10, n_cohorts: int | None = None,
-              assignments: DataFrame | None = None) -> DataFrame:
+              assignments: DataFrame | None = None, unique_pairs: bool = False) -> DataFrame:
     """Whole O9 before packing: ``(user, cohort, cohort_name, reco_rank, item,
     item_name, game_cluster_score)``.
 
@@ -117,7 +120,7 @@ def recommend(interactions: DataFrame, labelled: DataFrame, owned: DataFrame | N
     the labelled table (which carries names) is read only once.
     """
     scores = cohort_scores(interactions, assignments if assignments is not None else labelled, user, item,
-                           name, score, cohort, min_score, max_share, exponent, with_names=False)
+                           name, score, cohort, min_score, max_share, exponent, with_names=False, unique_pairs=unique_pairs)
     top = cohort_top_items(scores, item, cohort, per_cohort).select(cohort, item, "game_cluster_score")
     if n_cohorts is None:
         # measure the bound (a map-side-combined distinct count): with few

@@ -249,13 +249,13 @@ def q_tag_lift(spark, d):
                         r6("lift").alias("lift"))
 
 
-def _labelled(spark, d, inter, materialized: bool = False, cohorts=None):
+def _labelled(spark, d, inter, materialized: bool = False, cohorts=None, n_cohorts=None):
     """Labelled users; written once when the caller reads them several times."""
     if cohorts is None:
         cohorts = materialize(R.given_cohorts(spark, d, inter), "cohorts")   # read four times below
     lab = coh.cohort_profile(_user_tags(spark, d, inter), cohorts,
-                             "user_id", "cohort_id", n_cohorts=R.n_given_cohorts(spark, d),
-                             min_users=R.MIN_USERS, min_share=R.MIN_SHARE)
+                             "user_id", "cohort_id",
+                             n_cohorts=n_cohorts or R.n_given_cohorts(spark, d), min_users=R.MIN_USERS, min_share=R.MIN_SHARE)
     return materialize(lab, "labelled") if materialized else lab
 
 
@@ -312,8 +312,9 @@ WHERE cohort_rank <= 10""")
 def q_segment_top_items(spark, d):
     """Flagship: top-10 items per market segment by the cohort item score."""
     inter = _inter(spark, d)
-    s = rec.cohort_scores(inter, R.given_cohorts(spark, d, inter), "user_id", "item_id", "item_name",
-                          cohort="cohort_id", min_score=R.MIN_SCORE, max_share=R.MAX_SHARE, with_names=False)
+    # purchases are one row per user and item; users without any score nothing
+    s = rec.cohort_scores(inter, R.segments(spark, d), "user_id", "item_id", "item_name", cohort="cohort_id",
+                          min_score=R.MIN_SCORE, max_share=R.MAX_SHARE, with_names=False, unique_pairs=True)
     top = rec.cohort_top_items(s, "item_id", "cohort_id", 10)
     top = rec.attach_item_names(top, inter, "item_id", "item_name", R.n_given_cohorts(spark, d) * 10)
     return top.select("cohort_id", "cohort_rank", "item_id", "item_name",
@@ -322,11 +323,11 @@ def q_segment_top_items(spark, d):
 
 def _recommend(spark, d):
     inter = _inter(spark, d)
-    labelled = _labelled(spark, d, inter, materialized=True)
+    n_cohorts = R.n_given_cohorts(spark, d)
+    labelled = _labelled(spark, d, inter, materialized=True, n_cohorts=n_cohorts)
     return rec.recommend(inter, labelled, None, "user_id", "item_id", "item_name",
                          cohort="cohort_id", min_score=R.MIN_SCORE, max_share=R.MAX_SHARE,
-                         per_cohort=R.PER_COHORT, per_user=R.PER_USER,
-                         n_cohorts=R.n_given_cohorts(spark, d))
+                         per_cohort=R.PER_COHORT, per_user=R.PER_USER, n_cohorts=n_cohorts, unique_pairs=True)
 
 
 @query("recommend", "WITH " + S.reco_sql(R.MIN_USERS, R.MIN_SHARE, R.MIN_SCORE, R.MAX_SHARE, R.PER_COHORT,

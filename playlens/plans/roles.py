@@ -68,13 +68,16 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                   order_by=[F.col("item_id")])
 
 
+def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(user_id, cohort_id)`` of every customer."""
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("cohort_id"))
+
+
 def given_cohorts(spark: SparkSession, sf_dir: str, inter: DataFrame | None = None) -> DataFrame:
     """``(user_id, cohort_id)`` for every user with interactions: the market segment."""
     inter = inter if inter is not None else interactions(spark, sf_dir)
     users = inter.select("user_id").distinct()
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"),
-                                                F.col("c_mktsegment").alias("cohort_id"))
-    return users.join(c, "user_id")
+    return users.join(segments(spark, sf_dir), "user_id")
 
 
 def n_given_cohorts(spark: SparkSession, sf_dir: str) -> int:
