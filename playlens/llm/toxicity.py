@@ -38,6 +38,8 @@ WINDOW = 56
 ORDINARY_DICT, TOXIC_DICT = 1280, 1024
 THRESHOLDS = (2, 3, 4, 5, 6, 8)
 DECISION = 0.7
+#: Share of the ordinary calibration documents that the cut may reject at most.
+MOST_FALSE = 0.02
 #: Least log of the odds against chance at which a word's beginning tells toxic text.
 CHANCE = 16.0
 #: Marks of word neighbourhoods met in the training documents.
@@ -137,7 +139,8 @@ class Model:
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
         """Ridge-penalised logistic regression by Newton steps, then the shift
-        that puts the best F1 on the calibration documents at DECISION."""
+        that puts the best F1 on the calibration documents at DECISION, but not
+        more than MOST_FALSE of the ordinary ones above it."""
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
         z = np.c_[np.ones(len(x)), (x - self.mean) / self.scale]
         w, ridge = np.zeros(z.shape[1]), np.full(z.shape[1], 1.0)
@@ -156,6 +159,10 @@ class Model:
         f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
         best = int(np.argmax(f1))
         edge = logit[order][best] if best + 1 == len(y) else (logit[order][best] + logit[order][best + 1]) / 2
+        # with few toxic documents the best F1 is chance: the cut leaves alone all but a few ordinary ones
+        ordinary = np.sort(logit[y == 0])
+        if len(ordinary) and len(ordinary) < len(y):
+            edge = max(edge, ordinary[len(ordinary) - 1 - int(MOST_FALSE * len(ordinary))] + 1e-6)
         self.shift = float(math.log(DECISION / (1 - DECISION)) - edge)
 
     def score(self, text: str | None) -> float:
@@ -223,6 +230,7 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     for y, most in ((1, FIT_TOXIC), (0, FIT_ORDINARY)):
         drawn = marks.where(F.col("y") == y).select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(most)
         got = (texts.join(F.broadcast(drawn), "id")  # at most FIT_ORDINARY ids
+               .groupBy("id").agg(F.min("text").alias("text"))  # one row each
                .withColumn("h", F.xxhash64("id")).toPandas())
         chosen += [(h, t, y) for h, t in zip(got["h"], got["text"])]
     return fit([(t, y) for _, t, y in sorted(chosen)])

@@ -133,13 +133,12 @@ def test_line_dedup(spark, docs, none):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()}
 
-    def runs(t):
-        rs = re.findall(r"[^ \t\r]{1,12}", t)
-        return {(r, (rs[i + 1] if i + 1 < len(rs) else "")[:3]) for i, r in enumerate(rs)}
+    def shingles(t):
+        t = re.sub("[ \t\r]+", " ", t.lower()).strip(" ")
+        return {t[i:i + 5] for i in range(max(1, len(t) - 4))}
 
-    at = [(d, k, ln.lower().strip(" ")) for d, t in enumerate(texts) if t is not None
-          for k, ln in enumerate(t.split("\n")) if ln.strip(" ")]
-    sets = [runs(t) for _, _, t in at]
+    at = [(d, k, ln) for d, t in enumerate(texts) if t is not None for k, ln in enumerate(t.split("\n")) if ln.strip(" ")]
+    sets = [shingles(t) for _, _, t in at]
     links = [(i, j) for i in range(len(at)) for j in range(i)
              if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9]
     root = union(len(at), links)
@@ -147,7 +146,9 @@ def test_line_dedup(spark, docs, none):
     want = {d: None if t is None else "\n".join(ln for k, ln in enumerate(t.split("\n")) if (d, k) not in drop)
             for d, t in enumerate(texts)}
     wrong = [d for d in want if want[d] != got[d]]
-    assert len(wrong) <= 1, [(want[d], got[d]) for d in wrong]  # banding recall is high, not one
+    # bands miss a few links; nothing else may differ: no line goes that brute force keeps
+    assert len(wrong) <= 0.1 * len(drop), [(want[d], got[d]) for d in wrong]
+    assert all(set(want[d].split("\n")) <= set(got[d].split("\n")) for d in wrong)
     out = line_dedup.dedup_lines(docs)
     assert out.columns == [*docs.columns, "lines_removed_"] and out.count() == docs.count()
     assert line_dedup.dedup_lines(none).count() == 0
