@@ -10,7 +10,7 @@ from playlens.plans.registry import ORACLE, QUERIES
 def test_entry_runs(spark):
     df = entry_mod.entry(spark)
     assert df.columns == ["cohort_id", "cohort_rank", "item_id", "item_name", "game_cluster_score"]
-    assert df.count() >= 0
+    assert df.count() == 50
 
 
 def test_registry_keys():

@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 HASH_AGG = r"HashAggregate\("
 SORT_AGG = r"SortAggregate\("
-HEADLINE = ["master", "tag_similarity_wide", "cohort_profile", "recommend", "segment_top_items"]
+HEADLINE = ["master", "tag_similarity_all", "cohort_profile", "recommend", "segment_top_items"]
 
 
 def summarise(name: str, plan: str) -> list[str]:
@@ -59,8 +59,8 @@ def main() -> None:
              "(final AQE plans after execution).", ""]
     for name in HEADLINE:
         df = QUERIES[name](spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        df.collect()  # runs this very plan, so that what is shown is final
+        plan = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
         lines += summarise(name, plan)
     print("\n".join(lines))
 
