@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -121,7 +122,7 @@ class CutTokenizer:
         if len(self.known) > self.cache:
             self.known, self.older = {}, self.known
         known, older, extra = self.known, self.older, {}
-        new = {c for parts in cuts for c in parts if c not in known}
+        new = {c for c in set(chain.from_iterable(cuts)) if c not in known}
         known.update([(c, older[c]) for c in new if c in older])
         for c, raw in self.ids([c for c in new if c not in known]).items():
             (known if len(c) <= CACHE_CHARS else extra)[c] = raw
