@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.session import materialize, scratch_path  # noqa: F401
+from playlens.session import checkpoint_root, materialize, scratch_path  # noqa: F401
 
 #: ASCII letters to lower case, every other byte as it is.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -36,6 +36,20 @@ def parts_for(total_bytes: int, target: int) -> int:
     return max(1, -(-int(total_bytes or 0) // target))
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote, once everything made from them is written too.
+
+    A lost executor then needs none of them; anything outside the checkpoint folder stays."""
+    for frame in frames:
+        spark = frame.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in frame.inputFiles()[:1]}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+            root = fs.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(checkpoint_root(spark)))
+            if fs.makeQualified(path.getParent()).equals(root):
+                fs.delete(path, True)
+
+
 def prefix_offsets(counts: DataFrame, key: str, n: str, group: int = 4096) -> DataFrame:
     """Add ``before``: the sum of ``n`` over all smaller integer keys.
 

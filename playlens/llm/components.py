@@ -6,7 +6,7 @@ component point at its smallest node.  Rounds are joins and map-side
 aggregations over the links, so a hub with a third of all links is split by
 adaptive skew handling and nothing is gathered on the driver but two numbers
 per round.  Each round is written to the shared checkpoint folder, which cuts
-the lineage and survives lost executors.
+the lineage and survives lost executors, and the round before is deleted.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import materialize
+from playlens.llm.common import discard, materialize
 
 
 def _mark(e: DataFrame) -> tuple:
@@ -44,7 +44,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -
                  .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s"))
                  .select("s.*").where("u <> v").distinct())
-        e = materialize(small, name)
+        spent, e = e, materialize(small, name)
+        discard(spent)
         now = _mark(e)
         if now == mark:
             break
