@@ -50,6 +50,15 @@ def discard(*frames: DataFrame) -> None:
                 fs.delete(path, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of queries that are over: it does so when the driver's
+    garbage collection meets their plans, which a roomy driver may put off for half an hour."""
+    import gc
+
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+
+
 def prefix_offsets(counts: DataFrame, key: str, n: str, group: int = 4096) -> DataFrame:
     """Add ``before``: the sum of ``n`` over all smaller integer keys.
 
