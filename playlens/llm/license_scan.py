@@ -3,10 +3,11 @@
 A notice holds a template's words in order, with at most a tenth of them missing
 or foreign, over any lines.  So one of any few words of a template, one more
 than may be missing, stands in it: these telling words are looked for natively,
-before any Python, and each one found gives a window of the template's length
-around it, in which the exact word differences are counted.  The window is compressed
-by zstandard with nothing and with the template as raw dictionary; of templates
-confirmed at one place the one that shortens it most stands.
+before any Python, and each one found gives a candidate block of the template's length
+around it; blocks overlap.  Every block is compressed by zstandard with nothing and with
+each of the templates as raw dictionary.  The templates that shorten it are ranked by their
+size reduction and confirmed in that order, all of them, by the exact word differences;
+of confirmed runs over the same words the longest, then the better ranked one stands.
 
 The scan has no shuffle; only texts with telling words reach Python.
 """
@@ -44,6 +45,8 @@ TEMPLATES = {
 }
 #: Share of a template's words that may be missing, and of foreign words between them.
 DIFFERENCE = 0.1
+#: Compression level for blocks.
+LEVEL = 3
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
 
@@ -82,50 +85,63 @@ class Scanner:
 
         self.words = {k: ws for k, t in templates.items() if (ws := words(t))}
         self.telling = {k: {w: [j for j, x in enumerate(ws) if x == w] for w in telling(ws)} for k, ws in self.words.items()}
-        self.plain = z.ZstdCompressor(level=9, write_content_size=False)
-        self.given = {k: z.ZstdCompressor(level=9, write_content_size=False, dict_data=z.ZstdCompressionDict(
-            " ".join(ws).encode(), dict_type=z.DICT_TYPE_RAWCONTENT)) for k, ws in self.words.items()}
-
-    def _places(self, k: str, ws: list[str], at: dict[str, list[int]]) -> list[tuple[int, int, int, int]]:
-        """Every run of ``ws`` that template k confirms, none overlapping."""
+        self.plain = z.ZstdCompressor(level=LEVEL, write_content_size=False)
+        self.given = {}
+        for k, ws in self.words.items():
+            template = z.ZstdCompressionDict(" ".join(ws).encode(), dict_type=z.DICT_TYPE_RAWCONTENT)
+            template.precompute_compress(level=LEVEL)  # loaded once, not for every block
+            self.given[k] = z.ZstdCompressor(level=LEVEL, write_content_size=False, dict_data=template)
+
+    def blocks(self, ws: list[str]) -> list[tuple[int, int]]:
+        """Candidate blocks: the words around every telling word, as far as its template can reach."""
+        of_interest = {w for t in self.telling.values() for w in t}
+        at: dict[str, list[int]] = {}
+        for i, w in enumerate(ws):
+            if w in of_interest:
+                at.setdefault(w, []).append(i)
+        found = set()
+        for k, told in self.telling.items():
+            n, slack = len(self.words[k]), int(DIFFERENCE * len(self.words[k]))
+            for w, js in told.items():
+                for p in at.get(w, ()):
+                    found |= {(max(0, p - j - 2 * slack), min(len(ws), p - j + n + 2 * slack)) for j in js}
+        return sorted(found)
+
+    def ranked(self, block: list[str]) -> list[tuple[float, str]]:
+        """(size reduction, template) of the templates that shorten the block, the best first."""
+        data = " ".join(block).encode()
+        alone = len(self.plain.compress(data))
+        gains = ((1 - len(z.compress(data)) / alone, k) for k, z in self.given.items())
+        return sorted((g for g in gains if g[0] > 0), key=lambda g: (-g[0], g[1]))
+
+    def confirm(self, k: str, block: list[str]) -> tuple[int, int, int, int] | None:
+        """(start, end, missing, foreign) of the run of the block that is template k but for the allowed differences."""
         template = self.words[k]
         n, slack = len(template), int(DIFFERENCE * len(template))
-        starts = sorted({p - j for w, js in self.telling[k].items() for p in at.get(w, ()) for j in js})
-        if not slack:
-            found = [(p, p + n, 0, 0) for p in starts if p >= 0 and ws[p:p + n] == template]
-        else:
-            need, found = Counter(template), []
-            for p in starts:
-                a = max(0, p - 2 * slack)
-                block = ws[a:p + n + 2 * slack]
-                if sum((need & Counter(block)).values()) < n - slack:
-                    continue
-                got = best_run(template, block)
-                if got:
-                    found.append((a + got[0], a + got[1], *got[2:]))
-        return distinct(found, key=lambda f: (f[2] + f[3], f[0]))
+        if sum((Counter(template) & Counter(block)).values()) < n - slack:
+            return None
+        if slack:
+            return best_run(template, block)
+        return next(((i, i + n, 0, 0) for i in range(len(block) - n + 1) if block[i:i + n] == template), None)
 
     def scan(self, text: str) -> list[tuple[int, str, float, int, int]]:
         """(line, template, size reduction, missing, foreign) of every confirmed notice."""
         lowered = text.lower()
         spans = [(m.group(), m.start()) for m in _WORD.finditer(lowered)]
         ws = [w for w, _ in spans]
-        of_interest = {w for t in self.telling.values() for w in t}
-        at: dict[str, list[int]] = {}
-        for i, w in enumerate(ws):
-            if w in of_interest:
-                at.setdefault(w, []).append(i)
-        found = []
-        for k in self.words:
-            for a, b, missing, foreign in self._places(k, ws, at):
-                data = " ".join(ws[a:b]).encode()
-                gain = 1 - len(self.given[k].compress(data)) / len(self.plain.compress(data))
-                found.append((a, b, k, gain, missing, foreign))
-        kept = distinct(found, key=lambda f: (f[0] - f[1], -f[3], f[2]))
+        found: dict[str, set] = {}
+        for a, b in self.blocks(ws):
+            for gain, k in self.ranked(ws[a:b]):
+                got = self.confirm(k, ws[a:b])
+                if got:
+                    found.setdefault(k, set()).add((a + got[0], a + got[1], k, gain, *got[2:]))
+        # of one template's overlapping runs the least different stays, of several templates' the longest
+        own = [f for runs in found.values() for f in distinct(runs, key=lambda f: (f[4] + f[5], f[0], -f[3]))]
+        kept = distinct(own, key=lambda f: (f[0] - f[1], -f[3], f[2]))
         return [(lowered.count("\n", 0, spans[a][1]), *f) for a, _, *f in sorted(kept)]
 
 
-def distinct(found: list[tuple], key) -> list[tuple]:
+def distinct(found, key) -> list[tuple]:
     """Of runs ``(start, end, ...)`` that overlap only the first by ``key``."""
     kept: list[tuple] = []
     for f in sorted(found, key=key):
