@@ -124,6 +124,8 @@ def top_sets(sets: DataFrame, k: int, rounds: tuple = ROUNDS, partitions: int |
         raise ValueError("the last threshold must be zero")
     sets = sets.select("sid", F.col("n").cast("int").alias("n"), "tags")
     sizes = [r[0] for r in sets.select("n").distinct().orderBy("n").collect()]  # no more than the largest set
+    if not sizes:   # a cap may leave no element at all
+        return sets.select("sid", F.col("sid").alias("nbr_sid"), F.lit(0).cast("long").alias("shared"), F.lit(0.0).alias("score"))
     # two different sets of one size share all but one element at most, of two sizes the smaller
     reach = max([(n - 1) / (n + 1) for n in sizes] + [m / n for m, n in zip(sizes, sizes[1:])], default=0.0)
     open_sets, found = sets, []

@@ -47,3 +47,11 @@ def test_no_tags_gives_empty_list_and_properties(spark):
     assert got[3].computed_similar_games == [] and got[3].similar_game_names == []
     plan = plan_text(full)
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_cap_that_leaves_no_tag_gives_no_rows(spark):
+    df = _items(spark, [(i, f"n{i}", ["common"], None, None) for i in range(1, 5)])
+    for basis in ("all", "kept"):
+        top = sim.tag_similarity(df, k=2, max_tag_freq=3, size_basis=basis)
+        assert top.columns == ["id", "rank", "nbr_id", "nbr_name", "shared", "score"] and top.count() == 0
+    assert sim.tag_similarity(df, k=2, max_tag_freq=4).count() == 8
