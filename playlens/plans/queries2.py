@@ -279,13 +279,15 @@ def q_documents(spark, d):
 
 # --------------------------------------------------------------- frontier
 
-def _edges(spark, d):
+def _edges(spark, d, distinct=True):
     li = R.table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
     o = R.table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    e = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
-         .select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("src"),
-                 F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst")))
-    return e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+    bought = li.join(o, li["l_orderkey"] == o["o_orderkey"]).select("o_custkey", "l_partkey")
+    # made distinct as numbers and one way: the two ways have no edge in common
+    e = (bought.distinct() if distinct else bought).select(
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("src"),
+        F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst"))
+    return e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
 
 
 def _seeds(spark, d):
@@ -315,7 +317,8 @@ def _bfs_sql(steps: int, batch: int) -> str:
 
 @query("frontier_step", _bfs_sql(1, 50))
 def q_frontier_step(spark, d):
-    return fr.frontier_step(_edges(spark, d), fr.seed_state(_seeds(spark, d)), batch=50)
+    # one step makes what it finds distinct itself
+    return fr.frontier_step(_edges(spark, d, distinct=False), fr.seed_state(_seeds(spark, d)), batch=50)
 
 
 @query("bfs", """WITH RECURSIVE e AS (SELECT DISTINCT 'c' || o.o_custkey AS src, 'p' || l.l_partkey AS dst
