@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.functions.scalar import slug, unify_tags
+from playlens.session import materialize
 
 
 def user_tag_counts(interactions: DataFrame, user: str = "steam_id",
@@ -105,14 +106,16 @@ def learn_cohorts(arrays: DataFrame, user: str = "steam_id", k: int = 30, seed:
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import vector_to_array
 
-    features, feats = tfidf_features(arrays, min_df=min_df)
+    # the vocabulary, the idf, the centres and each reader of the cohorts would build them again
+    features, feats = tfidf_features(materialize(arrays, "tag-arrays"), min_df=min_df)
+    feats = materialize(feats.select(user, "features"), "features")
     if distance == "cosine":
         feats = feats.filter(F.aggregate(vector_to_array("features"), F.lit(0.0),
                                          lambda acc, x: acc + F.abs(x)) > 0)
     km = KMeans(k=k, seed=seed, maxIter=max_iter, distanceMeasure=distance,
                 featuresCol="features", predictionCol="cohort_id")
     model = km.fit(feats)
-    pred = model.transform(feats)
+    pred = materialize(model.transform(feats), "cohorts")
     # the library holds the centres in the driver, k times the vocabulary
     words = features.stages[0].vocabulary
     values = [(c, words[i], float(x)) for c, centre in enumerate(model.clusterCenters()) for i, x in enumerate(centre) if x]

@@ -399,39 +399,38 @@ def q_report_neighbour_overlap(spark, d):
 # --------------------------------------------------------------- learned cohorts (rows-only)
 
 def _kmeans(spark, d, k=8):
+    """Interactions, user tags (both written once), assignments and predictions."""
     inter = _inter(spark, d)
-    arrays = feat.user_tag_arrays(_user_tags(spark, d, inter), inter, "user_id")
-    return feat.assign_cohorts(arrays, "user_id", k=k, seed=42, min_df=R.MIN_DF)
+    counts = materialize(_user_tags(spark, d, inter), "user-tags")
+    arrays = feat.user_tag_arrays(counts, inter, "user_id")
+    return inter, counts, *feat.assign_cohorts(arrays, "user_id", k=k, seed=42, min_df=R.MIN_DF)
 
 
 @query("cohorts_kmeans")
 def q_cohorts_kmeans(spark, d):
-    assign, _ = _kmeans(spark, d)
-    return assign
+    return _kmeans(spark, d)[2]
 
 
 @query("cohort_quality")
 def q_cohort_quality(spark, d):
-    _, pred = _kmeans(spark, d)
+    pred = _kmeans(spark, d)[3]
     return spark.createDataFrame([(feat.cohort_quality(pred),)], "silhouette double")
 
 
 @query("learned_cohort_profile")
 def q_learned_cohort_profile(spark, d):
     """O8 on K-Means cohorts (K = 8 bounds the broadcast of the size table)."""
-    inter = _inter(spark, d)
-    assign, _ = _kmeans(spark, d)
-    return coh.cohort_profile(_user_tags(spark, d, inter), assign, "user_id", "cohort_id", n_cohorts=8,
+    _, counts, assign, _ = _kmeans(spark, d)
+    return coh.cohort_profile(counts, assign, "user_id", "cohort_id", n_cohorts=8,
                               min_users=R.MIN_USERS, min_share=R.MIN_SHARE)
 
 
 @query("learned_recommend")
 def q_learned_recommend(spark, d):
     """O9 on K-Means cohorts: the reference's own flow end to end."""
-    inter = _inter(spark, d)
-    assign, _ = _kmeans(spark, d)
-    labelled = coh.cohort_profile(_user_tags(spark, d, inter), assign, "user_id", "cohort_id", n_cohorts=8,
-                                  min_users=R.MIN_USERS, min_share=R.MIN_SHARE)
+    inter, counts, assign, _ = _kmeans(spark, d)
+    labelled = materialize(coh.cohort_profile(counts, assign, "user_id", "cohort_id", n_cohorts=8,
+                                              min_users=R.MIN_USERS, min_share=R.MIN_SHARE), "labelled")
     ranked = rec.recommend(inter, labelled, None, "user_id", "item_id", "item_name", cohort="cohort_id",
                            min_score=R.MIN_SCORE, max_share=R.MAX_SHARE, n_cohorts=8)
     return rec.pack_recommendations(ranked, "user_id", "item_id", "cohort_id").select(
