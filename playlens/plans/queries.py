@@ -297,7 +297,8 @@ SELECT cohort_id, item_id, item_name, round(cohort_score, 6) AS cohort_score, us
 def q_cohort_scores(spark, d):
     inter = _inter(spark, d)
     s = rec.cohort_scores(inter, R.given_cohorts(spark, d, inter), "user_id", "item_id", "item_name",
-                          cohort="cohort_id", min_score=R.MIN_SCORE, max_share=R.MAX_SHARE)
+                          cohort="cohort_id", min_score=R.MIN_SCORE, max_share=R.MAX_SHARE,
+                          unique_pairs=True, repeated_labels=True)
     return s.select(*_SCORE_COLS, r6("cohort_score").alias("cohort_score"), "user_count",
                     r6("global_score").alias("global_score"),
                     r6("game_cluster_score").alias("game_cluster_score"))
@@ -348,7 +349,7 @@ def q_recommendation_scores(spark, d):
     """The parallel lists, read back place by place; scores are
     rounded to two decimals (checked against the ranked rows, not by digits,
     where sums in another order may fall on the other side of a half)."""
-    ranked = _recommend(spark, d)
+    ranked = materialize(_recommend(spark, d), "ranked")   # packed, and looked up again
     packed = rec.pack_recommendations(ranked, "user_id", "item_id", "cohort_id")
     flat = packed.select("user_id", F.posexplode(F.arrays_zip(
         F.col("recommended_ids").alias("i"), F.col("recommended_games").alias("g"),
