@@ -106,7 +106,7 @@ def test_files_follow_the_size(spark):
         sinks.write_gold(df, os.path.join(root, "many"))
     count = {n: len([f for f in os.listdir(os.path.join(root, n)) if f.endswith(".parquet")]) for n in ("one", "many")}
     assert count["one"] < count["many"] <= 40 and count["many"] >= 5
-    loads = df.limit(100).withColumn("dt", F.when(F.col("id") % 2 == 0, "a").otherwise("b"))
+    loads = df.orderBy("id").limit(100).withColumn("dt", F.when(F.col("id") % 2 == 0, "a").otherwise("b"))
     sinks.write_loads(loads, os.path.join(root, "loads"))
     sinks.write_loads(loads.where("dt = 'b'").limit(1), os.path.join(root, "loads"))
     back = spark.read.parquet(os.path.join(root, "loads"))
