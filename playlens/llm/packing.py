@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import materialize, parts_for, pick
-from playlens.llm.tokens import tokenizer
+from playlens.llm.common import in_blocks, materialize, parts_for, pick
+from playlens.llm.tokens import BLOCK_BYTES, tokenizer
 
 #: Pieces packed together; a bound on a task's memory and time.
 GROUP = 8192
@@ -303,10 +303,9 @@ def tokenize_pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(vocabulary)
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                b = batch.slice(a, 500)
+            for b in in_blocks(batch, 1, BLOCK_BYTES):
                 rows = [[], [], [], [], [], []]
-                for i, raw in enumerate(tok.encode(b.column("text").to_pylist())):
+                for i, raw in enumerate(tok.encode(b.column("text"))):
                     raw += end
                     for k, (s, n) in enumerate(cut(len(raw) // 4, capacity)):
                         part = raw[4 * s:4 * (s + n)]
