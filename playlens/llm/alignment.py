@@ -7,6 +7,9 @@ from the middle, each looked up among the ends of B's tokens by bisection,
 and both halves are divided in turn.  An interval without a cut is a leaf
 group.  All intervals of one level, over all texts of a block, are tried
 together as arrays, so a text of any length costs a few array steps per level.
+Tokens of A and B both end where a word ends at a space that is a safe cut, so a
+text is divided there first, and each different word once for all texts, as
+long as it is known.
 
 Counting how often an id pair is linked over the corpus is Spark's work: each
 text keeps its distinct pairs with their numbers, the numbers are summed by
@@ -17,20 +20,23 @@ broadcast under a proven bound, the others joined).
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.llm.common import free_name, heavy_lookup, map_rows, materialize, pick
-from playlens.llm.tokens import _CUT, _UNSAFE, CutTokenizer
+from playlens.llm.tokens import CutTokenizer, Known, Pieces, bytes_of, column, cuts_of, strings_of
 
 #: Text bytes that are worked on as one block of arrays.
-BLOCK = 1 << 20
-#: Pieces of text that a worker remembers (twice as many while the older ones go), and the longest.
-KNOWN, KNOWN_CHARS = 200_000, 64
+BLOCK = 2 << 20
+#: Words that a worker remembers with their groups.
+KNOWN = 600_000
 
 def divide(ea: np.ndarray, eb: np.ndarray, lo, hi, lob, hib) -> tuple:
     """Leaf groups of the intervals A[lo:hi] / B[lob:hib].
@@ -101,96 +107,99 @@ class Pair:
         # cutting at spaces needs that no piece goes on over a space
         if any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())):
             raise ValueError("vocabulary B has pieces that hold a space inside")
+        self.a_text, self.b_text = (Pieces(np.frombuffer(b"".join(x), dtype=np.uint8), np.array([len(y) for y in x], dtype=np.int64))
+                                    for x in (self.a_bytes, self.b_bytes))
         self.a_len = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
         self.a_digits, self.b_digits = _digits(len(self.a_bytes)), _digits(len(self.b_bytes))
-        self.known: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
-
-    def _encode(self, parts: list[str]) -> list[tuple]:
-        """(ids of A, ids of B, bytes equal) of parts, each with a space before it."""
-        a = self.a.ids([" " + p for p in parts])
-        out = []
-        for p, y in zip(parts, self.b.encode(parts, num_threads=1) if parts else ()):
-            x, want = a[" " + p], (" " + p).encode()
-            same = (b"".join([self.a_bytes[i] for i in np.frombuffer(x, dtype="<u4").tolist()]) == want
-                    and b"".join([self.b_bytes[i] for i in y]) == want)
-            out.append((x, np.array(y, dtype="<u4").tobytes(), same))
-        return out
-
-    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
-        """Ids of space + text by A and B; nothing where the bytes differ."""
-        cuts = []
-        for text in texts:
-            if not text:
-                cuts.append([])
-            elif _UNSAFE.search(text):
-                parts = _CUT.split(text)
-                cuts.append(parts[:1] + [c[1:] for c in parts[1:]])
-            else:
-                cuts.append(text.split(" "))
-        if len(self.known) > KNOWN:
-            self.known, self.older = {}, self.known
-        known, older, extra = self.known, self.older, {}
-        new = {c for parts in cuts for c in parts if c not in known}
-        known.update((c, older[c]) for c in new if c in older)
-        new = [c for c in new if c not in known]
-        for c, got in zip(new, self._encode(new)):
-            (known if len(c) <= KNOWN_CHARS else extra)[c] = got
-        out = []
-        for text, parts in zip(texts, cuts):
-            try:
-                got = [known[c] for c in parts]
-            except KeyError:
-                got = [known.get(c) or extra[c] for c in parts]
-            if not all([g[2] for g in got]):
-                whole = self._encode([text])[0]
-                out.append(whole[:2] if whole[2] else (b"", b""))
-            else:
-                out.append((b"".join([g[0] for g in got]), b"".join([g[1] for g in got])))
-        return out
-
-    def align(self, texts: list[str | None]) -> dict[str, list]:
-        """Groups, cuts and distinct linked pairs of each text."""
-        both = self.encode(texts)
-        na = np.array([len(x) // 4 for x, _ in both], dtype=np.int64)
-        nb = np.array([len(y) // 4 for _, y in both], dtype=np.int64)
-        a = np.frombuffer(b"".join([x for x, _ in both]), dtype="<u4").astype(np.int64)
-        b = np.frombuffer(b"".join([y for _, y in both]), dtype="<u4").astype(np.int64)
+        self.known, self.older = Known(KNOWN), ()
+
+    def _encode(self, parts: pa.Array) -> tuple[Pieces, Pieces, np.ndarray]:
+        """Ids of A, ids of B, bytes equal, of parts, each with a space before it."""
+        spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), parts, pa.scalar("", pa.large_string()))
+        a, lists = self.a.words(spaced), self.b.encode(parts.to_pylist(), num_threads=1) if len(parts) else []
+        b = Pieces(np.fromiter(itertools.chain.from_iterable(lists), dtype=np.uint32), np.array([len(x) for x in lists], dtype=np.int64))
+        want, same = bytes_of(spaced), np.ones(len(parts), dtype=bool)
+        for ids, text in ((a, self.a_text), (b, self.b_text)):
+            given = text.take(ids.flat).sums(ids.n)
+            same &= given.n == want.n
+            fits = np.flatnonzero(same)
+            same[np.repeat(fits, want.n[fits])[given.take(fits).flat != want.take(fits).flat]] = False
+        return a, b, same
+
+    def words(self, parts: pa.Array) -> list[Pieces]:
+        """What is known of parts, each with a space before it: its groups as text; numbers of tokens of A and B,
+        of groups and bytes, and whether the bytes are equal; the offset where each group ends; its linked pair."""
+        x, y, same = self._encode(parts)
+        size = bytes_of(parts).n + 1
+        some = np.flatnonzero(same)
+        x, y = x.take(some), y.take(some)
+        a, b, na, nb = x.flat.astype(np.int64), y.flat.astype(np.int64), x.n, y.n
         ea, eb = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
         top, topb = np.cumsum(na), np.cumsum(nb)
-        some = na > 0
-        lo, hi, lob, hib = divide(ea, eb, (top - na)[some], top[some], (topb - nb)[some], topb[some])
-        # which text a leaf belongs to
-        doc = np.searchsorted(top, lo, side="right")
-        groups = np.bincount(doc, minlength=len(texts)) if len(doc) else np.zeros(len(texts), dtype=np.int64)
+        lo, hi, lob, hib = divide(ea, eb, top - na, top, topb - nb, topb)
+        # which part a leaf belongs to
+        of = np.searchsorted(top, lo, side="right")
+        groups = np.bincount(of, minlength=len(some))
         # a1,a2|b1;a3|b2,b3
         wide = max(self.a_digits.shape[1], self.b_digits.shape[1])
         marks = np.zeros((len(a) + len(b), wide + 1), dtype=np.uint8)
-        pa = np.arange(len(a)) + np.repeat(lob, hi - lo)
-        pb = np.arange(len(b)) + np.repeat(hi, hib - lob)
-        marks[pa, :self.a_digits.shape[1]] = self.a_digits[a]
+        pa_, pb = np.arange(len(a)) + np.repeat(lob, hi - lo), np.arange(len(b)) + np.repeat(hi, hib - lob)
+        marks[pa_, :self.a_digits.shape[1]] = self.a_digits[a]
         marks[pb, :self.b_digits.shape[1]] = self.b_digits[b]
         marks[:, wide] = ord(",")
         if len(lo):
-            marks[pa[hi - 1], wide] = ord("|")
+            marks[pa_[hi - 1], wide] = ord("|")
             marks[pb[hib - 1], wide] = ord(";")
-            marks[pb[topb[some] - 1], wide] = 0  # the last group of a text
+            marks[pb[topb - 1], wide] = 0  # the last group of a part
         used = np.concatenate([[0], np.cumsum((marks != 0).sum(axis=1))])
         flat = marks.ravel()
-        text = flat[flat != 0].tobytes().decode("ascii")
-        ends = used[top + topb]
-        starts = np.concatenate([[0], ends[:-1]])
-        said = [text[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
-        # shared cuts, as offsets into space + text
+        # shared cuts, as offsets into space + part
         base = np.concatenate([[0], ea])[top - na]
-        cuts = ea[hi - 1] - base[doc] if len(lo) else np.zeros(0, dtype=np.int64)
+        pair = a[hi - 1] * len(self.b_bytes) + b[hib - 1] if len(lo) else np.zeros(0, dtype=np.int64)
+        cuts = ea[hi - 1] - base[of] if len(lo) else np.zeros(0, dtype=np.int64)
+
+        def every(n):
+            out = np.zeros(len(same), dtype=np.int64)
+            out[some] = n
+            return out
+
+        head = np.stack([every(na), every(nb), every(groups), size, same.astype(np.int64)], axis=1)
+        return [Pieces(flat[flat != 0], every(np.diff(used[np.concatenate([[0], top + topb])]))),
+                Pieces(head.ravel().astype(np.int32), np.full(len(same), 5)), Pieces(cuts.astype(np.int32), every(groups)), Pieces(pair, every(groups))]
+
+    def align(self, texts: list[str | None] | pa.Array) -> dict[str, list]:
+        """Groups, cuts and distinct linked pairs of each text."""
+        texts = column(texts)
+        flat, size = cuts_of(texts, "")
+        coded = flat.dictionary_encode()
+        said, head, ends, linked = self.known.find(coded.dictionary, self.words)
+        at = coded.indices.to_numpy().astype(np.int64)
+        of = np.repeat(np.arange(len(size)), size)
+        # texts of which the bytes of a part differ are looked at as a whole
+        odd = np.unique(of[head.flat[5 * at + 4] == 0])
+        if len(odd):
+            whole = self.words(texts.take(pa.array(odd)))
+            n = len(coded.dictionary)
+            said, head, ends, linked = (Pieces.join([x, y]) for x, y in zip((said, head, ends, linked), whole))
+            stays = ~np.isin(of, odd)
+            of, at = np.concatenate([of[stays], odd]), np.concatenate([at[stays], n + np.arange(len(odd))])
+            order = np.argsort(of, kind="stable")
+            of, at = of[order], at[order]
+            size = np.bincount(of, minlength=len(size))
+        head = head.flat.reshape(-1, 5)[at]
+        na, nb, groups, length = (np.bincount(of, weights=head[:, i], minlength=len(size)).astype(np.int64) for i in range(4))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()),
+                                         strings_of(said).take(pa.array(at)))
+        # shared cuts, as offsets into space + text
+        ends, size_in = ends.take(at), head[:, 3].astype(np.int64)
+        before = np.cumsum(size_in) - size_in - np.repeat(np.cumsum(length) - length, size)
+        cuts = ends.flat + np.repeat(before, ends.n)
         # distinct linked pairs of a text
-        pair = (doc << 40) | (a[hi - 1] * len(self.b_bytes) + b[hib - 1]) if len(lo) else np.zeros(0, dtype=np.int64)
-        pair, times = np.unique(pair, return_counts=True)
-        per = np.bincount(pair >> 40, minlength=len(texts)) if len(pair) else np.zeros(len(texts), dtype=np.int64)
-        return {"n_a": na, "n_b": nb, "groups": said, "n_groups": groups, "cuts": cuts,
-                "pair": pair & ((1 << 40) - 1), "times": times, "n_pairs": per}
+        linked = linked.take(at)
+        pair, times = np.unique(np.repeat(of, linked.n) << 40 | linked.flat, return_counts=True)
+        return {"n_a": na, "n_b": nb, "groups": pc.binary_join(lists, pa.scalar(";", pa.large_string())), "n_groups": groups, "cuts": cuts,
+                "pair": pair & ((1 << 40) - 1), "times": times, "n_pairs": np.bincount(pair >> 40, minlength=len(size))}
 
 
 @functools.lru_cache(maxsize=2)
@@ -217,15 +226,13 @@ def align_texts(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -
     null or empty, or whose bytes a vocabulary does not give back, has no
     tokens: zeros, '' and empty arrays.  Other columns stay as they are; a new
     column whose name is taken gets underscores."""
-    import pyarrow as pa
-
     def lists(n, values, kind):
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(values, kind))
 
     def run(cols):
-        got = _pair(a_path, b_path).align(cols[0].to_pylist())
+        got = _pair(a_path, b_path).align(cols[0])
         return [pa.array(got["n_a"], pa.int64()), pa.array(got["n_b"], pa.int64()), pa.array(got["n_groups"], pa.int64()),
-                pa.array(got["groups"], pa.string()), lists(got["n_groups"], got["cuts"], pa.int64()),
+                got["groups"].cast(pa.string()), lists(got["n_groups"], got["cuts"], pa.int64()),
                 lists(got["n_pairs"], got["pair"], pa.int64()), lists(got["n_pairs"], got["times"], pa.int32())]
 
     return map_rows(docs, [text], run, "n_a long, n_b long, n_groups long, groups string, cuts array<long>, "
