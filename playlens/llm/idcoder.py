@@ -29,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import materialize, parts_for, pick, prefix_offsets
-from playlens.llm.tokens import tokenizer
+from playlens.llm.common import in_blocks, materialize, parts_for, pick, prefix_offsets
+from playlens.llm.tokens import BLOCK_BYTES, tokenizer
 
 BLOCK = 4096
-#: Blocks coded side by side; about 0.2 MB of models each.
-LANES = 1700
+#: Blocks coded side by side at most, about 0.2 MB of models each, and blocks collected for that,
+#: so that they are dealt evenly.
+LANES, HELD = 850, 4000
 #: Text bytes per file.
 FILE_BYTES = 16 << 20
 MAGIC = b"IDCM"
@@ -186,6 +187,12 @@ class _Coder:
 _CERTAIN = np.uint64(4096)
 
 
+def turns(n: int) -> list[tuple[int, int]]:
+    """Bounds of as few runs of n blocks as ``LANES`` allows, of about the same length."""
+    runs = -(-n // LANES)
+    return [(i * n // runs, (i + 1) * n // runs) for i in range(runs)]
+
+
 def encode_lanes(blocks: list[np.ndarray], vocab: int) -> list[np.ndarray]:
     """Each block's ids (below ``vocab``) as words of the range coder."""
     return _code(blocks, [len(b) for b in blocks], vocab, None)
@@ -303,24 +310,24 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int | None, i
 
         def out():
             nonlocal done, number, before
-            coded = encode_lanes([d[0] for d in done], vocab)
-            rows = [[], [], [], [], [], []]
-            for (b, tab, who), words in zip(done, coded):
-                for col, v in zip(rows, (file, number, before, len(b), who, seal(words, len(b), tab))):
-                    col.append(v)
-                number, before = number + 1, before + len(b)
+            for a, z in turns(len(done)):
+                coded = encode_lanes([d[0] for d in done[a:z]], vocab)
+                rows = [[], [], [], [], [], []]
+                for (b, tab, who), words in zip(done[a:z], coded):
+                    for col, v in zip(rows, (file, number, before, len(b), who, seal(words, len(b), tab))):
+                        col.append(v)
+                    number, before = number + 1, before + len(b)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.int64()),
+                     pa.array(rows[3], pa.int64()), pa.array(rows[4], pa.list_(id_type or of)), pa.array(rows[5], pa.binary())],
+                    ["file", "block", "before", "ids", "doc_ids", "bytes"])
             done = []
-            return pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.int64()),
-                 pa.array(rows[3], pa.int64()), pa.array(rows[4], pa.list_(id_type or of)), pa.array(rows[5], pa.binary())],
-                ["file", "block", "before", "ids", "doc_ids", "bytes"])
 
         of = None
         for batch in batches:
             of = batch.schema.field("doc_id").type
-            for a in range(0, batch.num_rows, 500):
-                b = batch.slice(a, 500)
-                for who, raw in zip(b.column("doc_id").to_pylist(), tok.encode(b.column("text").to_pylist())):
+            for b in in_blocks(batch, 1, BLOCK_BYTES // 4):
+                for who, raw in zip(b.column("doc_id").to_pylist(), tok.encode(b.column("text"))):
                     doc, at = np.frombuffer(raw + end, dtype="<u4"), 0
                     while at < len(doc) or not len(doc):
                         part = doc[at:at + block - held]
@@ -330,15 +337,14 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int | None, i
                         held, at = held + len(part), at + len(part)
                         if held == block:
                             close()
-                            if len(done) == LANES:
-                                yield out()
+                            if len(done) == HELD:
+                                yield from out()
                         if not len(doc):
                             break
                     doc_no += 1
         if table:
             close()
-        if done:
-            yield out()
+        yield from out()
 
     ordered.mapInArrow(run, _FILE.format(kind)).write.parquet(path)
 
@@ -355,8 +361,8 @@ def read_ids(spark, path: str, vocab: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, LANES):
-                b = batch.slice(a, LANES)
+            for a, z in turns(batch.num_rows):
+                b = batch.slice(a, z - a)
                 opened = [unseal(x) for x in b.column("bytes").to_pylist()]
                 decoded = decode_lanes([w for w, _, _ in opened], [n for _, n, _ in opened], vocab)
                 rows: list[list] = [[] for _ in range(7)]
