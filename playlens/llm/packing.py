@@ -25,11 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.llm.common import in_blocks, materialize, parts_for, pick
-from playlens.llm.tokens import BLOCK_BYTES, tokenizer
+from playlens.llm.tokens import BLOCK_BYTES, tokenizer, vocabulary_size
 
 #: Pieces packed together; a bound on a task's memory and time.
 GROUP = 8192
@@ -294,10 +295,25 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)]
 
 
+def _wide(vocabulary: str, end_id: int) -> bool:
+    """Whether an id may need more than 16 bits."""
+    return max(vocabulary_size(vocabulary) - 1, end_id) >= 1 << 16
+
+
+def widened(ids: pa.Array) -> pa.Array:
+    """Ids of 16 bits as ids of 32 bits, list by list."""
+    flat, n = np.frombuffer(b"".join(ids.to_pylist()), "<u2"), pc.binary_length(ids).to_numpy().astype(np.int64)
+    raw, end = flat.astype("<u4").tobytes(), (2 * np.cumsum(n)).tolist()
+    return pa.array([raw[i:j] for i, j in zip([0, *end[:-1]], end)], pa.binary())
+
+
 def tokenize_pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, capacity: int,
                     end_id: int, with_ids: bool) -> DataFrame:
-    """``(doc_id, piece, start, length, ids_crc32[, ids])`` for every document."""
+    """``(doc_id, piece, start, length, ids_crc32[, ids])`` for every document; ``ids`` are of
+    16 bits if all ids of the vocabulary are."""
     slim = pick(docs, doc_id=id_col, text=text_col)
+    wide = _wide(vocabulary, end_id)
+    width = 4 if wide else 2
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,9 +323,10 @@ def tokenize_pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str
                 rows = [[], [], [], [], [], []]
                 for i, raw in enumerate(tok.encode(b.column("text"))):
                     raw += end
+                    short = raw if wide or not with_ids else np.frombuffer(raw, "<u4").astype("<u2").tobytes()
                     for k, (s, n) in enumerate(cut(len(raw) // 4, capacity)):
-                        part = raw[4 * s:4 * (s + n)]
-                        for col, v in zip(rows, (i, k, s, n, zlib.crc32(part), part)):
+                        part = short[width * s:width * (s + n)] if with_ids else None
+                        for col, v in zip(rows, (i, k, s, n, zlib.crc32(raw[4 * s:4 * (s + n)]), part)):
                             col.append(v)
                 out = [b.column("doc_id").take(pa.array(rows[0], pa.int32())), pa.array(rows[1], pa.int32()),
                        *[pa.array(r, pa.int64()) for r in rows[2:5]]]
@@ -334,6 +351,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
     sequences and one shorter first piece; repeated rows are packed each; an
     empty table gives no rows; other columns are ignored.
     """
+    wide = _wide(vocabulary, end_id)
     pieces = materialize(tokenize_pieces(docs, id_col, text_col, vocabulary, capacity, end_id, with_ids), "pieces")
     n = parts_for(pieces.count(), group)
     dealt = pieces.withColumn("deal", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(n)))
@@ -348,6 +366,9 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
                 seq[i], off[i] = (deal << 32) + b, at
                 at += sizes[i]
         part = part.drop_columns(["deal"])
+        if with_ids and not wide:
+            at = part.schema.get_field_index("ids")
+            part = part.set_column(at, "ids", widened(part.column(at).combine_chunks()))
         return part.append_column("sequence_id", pa.array(seq)).append_column("offset", pa.array(off))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
