@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from playlens.llm import idcoder, line_dedup
+from playlens.llm import idcoder, line_dedup, packing
 from playlens.llm.alignment import Pair
 from playlens.llm.tokens import CutTokenizer, default_path, tokenizer_file
 
@@ -76,3 +76,46 @@ def test_lines_of_two_are_compared_once(spark, monkeypatch):
     assert out == len(lines) and "hubs" not in written  # texts travel, not sets
     stars = set(written["stars"][0])
     assert stars and not stars & set(written["pairs"][0])
+
+
+def test_unlike_lines_of_a_band_meet_few_rounds(spark, monkeypatch):
+    draw = random.Random(11)
+    common = "".join(draw.choices("abcdefgh ", k=60)).strip()
+    lines = [common + " " + "".join(draw.choices("klmnopqrst", k=40)) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    written = []
+
+    def keep(frame, name="stage", write=line_dedup.materialize):
+        out = write(frame, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", keep)
+    assert line_dedup.dedup_lines(df).where("lines_removed = 0").count() == len(lines)
+    names = [n for n, _ in written]
+    # small bands meet no more rounds, and no text is fetched for pairs that the marks rule out
+    assert names.count("links") == 2 and sum(n for name, n in written if name == "able") == 0 < dict(written)["stars"]
+
+
+def test_more_marks_allow_every_link(spark):
+    draw = random.Random(12)
+    sets = [[draw.randrange(-2**31, 2**31) for _ in range(400)] for _ in range(20)]
+    sets += [s[:370] + [draw.randrange(-2**31, 2**31) for _ in range(20)] for s in sets]
+    df = spark.createDataFrame(list(enumerate(sets)), "key long, set array<int>")
+    marks = line_dedup._more_marks(df)
+    a = line_dedup._side(marks, "a", marks["key"].alias("a"), words=line_dedup.MORE)
+    b = line_dedup._side(marks, "b", marks["key"].alias("b"), words=line_dedup.MORE)
+    got = {(r["a"], r["b"]) for r in a.join(b, a["a"] < b["b"]).where(line_dedup._possible(0.8, line_dedup.MORE)).collect()}
+    assert got == {(i, i + 20) for i in range(20)}
+
+
+def test_ids_of_pieces_travel_in_16_bits(spark, monkeypatch):
+    texts = ["one two three " * 40, None, "", "日本 x" * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = []
+    monkeypatch.setattr(packing, "materialize", lambda f, name, write=packing.materialize: kept.append(write(f, name)) or kept[-1])
+    got = packing.pack_documents(df, default_path(), capacity=64, end_id=0, with_ids=True).collect()
+    assert all(len(r["ids"]) == 2 * r["length"] for r in kept[0].collect())
+    for i, ids in enumerate(_library(texts)):
+        mine = sorted((r["start"], bytes(r["ids"])) for r in got if r["doc_id"] == i)
+        assert np.frombuffer(b"".join(x for _, x in mine), "<u4").tolist() == [*ids, 0]
