@@ -109,6 +109,13 @@ def test_more_marks_allow_every_link(spark):
     assert got == {(i, i + 20) for i in range(20)}
 
 
+def test_marks_add_few_statements_to_a_plan(spark):
+    row = {"band": 1, "key": 2, "comp": 3, "top": 4, "last": 5, **{f"w{i}": i for i in range(10)}}
+    for side in line_dedup._against(spark.createDataFrame([row]), 10):
+        known = side._jdf.queryExecution().analyzed().validConstraints().size()
+        assert known < 60  # not twice as many for each word
+
+
 def test_ids_of_pieces_travel_in_16_bits(spark, monkeypatch):
     texts = ["one two three " * 40, None, "", "日本 x" * 30]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
