@@ -21,6 +21,13 @@ def rejected(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.exceptAll(valid_source(source, keys))
 
 
+def _one_row_per_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source keys ``_q0``..., how many rows have each (``_n``) and one of these in the target's types (``_s``)."""
+    typed = source.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in target.columns])
+    return typed.groupBy(*[F.col(k).alias(f"_q{i}") for i, k in enumerate(keys)]).agg(
+        F.count(F.lit(1)).alias("_n"), F.first(F.struct(*target.columns)).alias("_s"))
+
+
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target and source in one pass: ``(status, n_source, key, row)``.
 
@@ -33,9 +40,7 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     Target rows with a NULL key, or with a key twice, all stay.
     """
     keys, cols = list(keys), target.columns
-    typed = source.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in cols])
-    one = typed.groupBy(*[F.col(k).alias(f"_q{i}") for i, k in enumerate(keys)]).agg(
-        F.count(F.lit(1)).alias("_n"), F.first(F.struct(*cols)).alias("_s"))
+    one = _one_row_per_key(target, source, keys)
     held = target.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.struct(*cols).alias("_t"))
     same, null_key = F.lit(True), F.lit(False)
     for i in range(len(keys)):
@@ -62,13 +67,15 @@ def refused_keys(merged: DataFrame) -> DataFrame:
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            reject_invalid: bool = True) -> DataFrame:
     """Matched keys take the source row (all columns), new keys are inserted,
-    target rows without a source match are kept.
+    target rows without a source match are kept.  A key that the target holds
+    twice has one row afterwards, the source's.
 
     Source rows with a NULL or repeated key change nothing; ``merge_rows`` says
     which.  ``reject_invalid=False`` trusts the source: target rows are
     kept with a left-anti join on the keys and the source is appended.
     """
     if reject_invalid:
-        return table_rows(merge_rows(target, source, keys))
+        valid = " AND ".join(["_n = 1", *[f"_q{i} IS NOT NULL" for i in range(len(keys))]])
+        source = _one_row_per_key(target, source, keys).where(valid).select("_s.*")
     kept = target.join(source.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    return kept.select(*target.columns).unionByName(source.select(*target.columns))

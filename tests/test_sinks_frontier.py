@@ -14,6 +14,12 @@ from tests.conftest import rows
 T = "id long, v string"
 
 
+def test_upsert_leaves_one_row_of_a_key_held_twice(spark):
+    target = spark.createDataFrame([(0, ""), (0, "old"), (1, "b"), (1, "b"), (None, "n")], "id long, v string")
+    source = spark.createDataFrame([(0, "new"), (1, "x"), (1, "y"), (None, "z")], "id long, v string")
+    assert rows(upsert(target, source, ["id"])) == [(0, "new"), (1, "b"), (1, "b"), (None, "n")]
+
+
 def test_upsert_semantics(spark):
     target = spark.createDataFrame([(1, "old"), (2, "keep")], T)
     source = spark.createDataFrame([(1, "new"), (3, "ins"), (None, "nullkey"), (4, "d1"), (4, "d2")], T)
